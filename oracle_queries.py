@@ -325,3 +325,171 @@ late_rows AS (
     AND patient_sk NOT IN (SELECT patient_sk FROM two_doses)
 )""",
 )
+
+# --- building blocks -------------------------------------------------------------
+
+ORACLE["state_population_preagg"] = with_star("SELECT * FROM state_populations")
+
+_DAILY_ORDERS = """
+daily_orders AS (
+  SELECT o_orderstatus, CAST(o_orderdate AS DATE) AS order_date, count(*) AS n_orders
+  FROM orders GROUP BY 1, 2
+)"""
+
+ORACLE["running_total_orders"] = f"""WITH {_DAILY_ORDERS}
+SELECT *, CAST(sum(n_orders) OVER (PARTITION BY o_orderstatus ORDER BY order_date
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_orders
+FROM daily_orders"""
+
+ORACLE["moving_average_rows"] = f"""WITH {_DAILY_ORDERS}
+SELECT *, avg(n_orders) OVER (PARTITION BY o_orderstatus ORDER BY order_date
+          ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS avg_30_rows
+FROM daily_orders"""
+
+ORACLE["percent_of_max"] = """
+SELECT o_orderpriority, n_orders,
+       round(100 * (CAST(n_orders AS DOUBLE) / max(n_orders) OVER ()), 2) AS pct_of_max
+FROM (SELECT o_orderpriority, count(*) AS n_orders FROM orders GROUP BY 1)"""
+
+ORACLE["normalize_vaccine_type"] = with_star(
+    f"SELECT vaccine_sk, vaccine_type_name, {NORMALIZE_SQL.format(c='vaccine_type_name')} AS vaccine_type "
+    "FROM dim_vaccines")
+
+ORACLE["week_boundaries"] = f"""
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date,
+       CAST(date_trunc('week', CAST(o_orderdate AS DATE)) AS DATE) AS week_start,
+       {weeks_between_sql('CAST(o_orderdate AS DATE)', AS_OF)} AS weeks_since
+FROM orders"""
+
+ORACLE["calendar_fields"] = """
+SELECT full_date,
+  CAST(extract(day FROM full_date) AS INTEGER) AS day,
+  CAST(extract(week FROM full_date) AS INTEGER) AS week,
+  CAST(extract(month FROM full_date) AS INTEGER) AS month,
+  CAST(extract(year FROM full_date) AS INTEGER) AS year,
+  CAST(extract(dow FROM full_date) AS INTEGER) AS weekday
+FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS full_date FROM orders)"""
+
+ORACLE["year_month_bucket"] = """
+SELECT l_orderkey, l_linenumber, strftime(CAST(l_shipdate AS DATE), '%Y-%m-01') AS year_month FROM lineitem"""
+
+ORACLE["month_end_load_mode"] = """
+SELECT run_date, CASE WHEN last_day(run_date) = run_date THEN 'replace' ELSE 'append' END AS load_mode
+FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS run_date FROM orders)"""
+
+ORACLE["anti_join_not_in"] = """
+SELECT * FROM customer
+WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')"""
+
+ORACLE["union_all_summary"] = """
+SELECT 'Orders' AS category, count(*) AS n FROM orders
+UNION ALL SELECT 'Customers with orders', count(DISTINCT o_custkey) FROM orders
+UNION ALL SELECT 'Urgent orders', count(*) FROM orders WHERE o_orderpriority = '1-URGENT'"""
+
+ORACLE["count_distinct_global"] = with_star("SELECT count(DISTINCT patient_sk) AS unique_patients FROM fact")
+
+ORACLE["having_duplicates"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1"""
+
+# --- data quality ------------------------------------------------------------------
+
+
+def _dq(check: str, count_sql: str, expected: int) -> str:
+    return (f"SELECT '{check}' AS \"check\", CAST(observed AS BIGINT) AS observed, "
+            f"CAST({expected} AS BIGINT) AS expected, observed = {expected} AS passed "
+            f"FROM (SELECT ({count_sql}) AS observed)")
+
+
+_DQ_SQL = {
+    "dq_unique_fact": _dq("fact_unique_vaccination_sk",
+                          "SELECT count(*) FROM (SELECT vaccination_sk, count(*) FROM fact GROUP BY 1 "
+                          "HAVING count(*) > 1)", 0),
+    "dq_unique_patient": _dq("dim_patients_unique_patient_sk",
+                             "SELECT count(*) FROM (SELECT patient_sk, count(*) FROM dim_patients GROUP BY 1 "
+                             "HAVING count(*) > 1)", 0),
+    "dq_not_null_fact": _dq("fact_not_null_vaccination_sk",
+                            "SELECT count(*) FROM (SELECT vaccination_sk, count(*) FROM fact GROUP BY 1 "
+                            "HAVING vaccination_sk IS NULL)", 0),
+    "dq_not_null_patient": _dq("dim_patients_not_null_patient_sk",
+                               "SELECT count(*) FROM (SELECT patient_sk, count(*) FROM dim_patients GROUP BY 1 "
+                               "HAVING patient_sk IS NULL)", 0),
+    "dq_distinct_states": _dq("fact_distinct_states_count",
+                              "SELECT count(*) FROM (SELECT DISTINCT dfa.facility_state_abbrev FROM fact fva "
+                              "JOIN dim_facilities dfa ON fva.facility_sk = dfa.facility_sk)", 6),
+}
+for _name, _sql in _DQ_SQL.items():
+    ORACLE[_name] = with_star(_sql)
+
+ORACLE["dq_report"] = with_star("\nUNION ALL\n".join(f"({s})" for s in _DQ_SQL.values()))
+
+ORACLE["dq_unique_lineitem_fails"] = _dq(
+    "lineitem_unique_key",
+    "SELECT count(*) FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)", 0)
+
+ORACLE["dq_no_blank_key"] = with_star(_dq(
+    "fact_no_blank_patient_sk",
+    "SELECT count(*) FROM fact WHERE patient_sk = 'd41d8cd98f00b204e9800998ecf8427e'", 0))
+
+
+def _contract_sql() -> str:
+    from vaxmart.schemas import CONTRACT_NULLABLE, CONTRACT_TYPES
+
+    cols = list(CONTRACT_TYPES)
+    counts = ", ".join(f'count(*) FILTER (WHERE "{c}" IS NULL) AS n{i}' for i, c in enumerate(cols))
+    branches = []
+    for i, c in enumerate(cols):
+        nullable = "TRUE" if c in CONTRACT_NULLABLE else "FALSE"
+        branches.append(
+            f"SELECT '{c}' AS column_name, '{CONTRACT_TYPES[c]}' AS declared_type, {nullable} AS declared_nullable, "
+            f"TRUE AS present, CAST(n{i} AS BIGINT) AS null_count, ({nullable} OR n{i} = 0) AS passed FROM counts"
+        )
+    return with_star("\nUNION ALL\n".join(branches), f"counts AS MATERIALIZED (SELECT {counts} FROM raw_vaccinations)")
+
+
+ORACLE["contract_report"] = _contract_sql()
+
+# --- ingestion logic -----------------------------------------------------------------
+
+_ORDERS_T = """
+target AS (SELECT *, strftime(CAST(o_orderdate AS DATE), '%Y-%m-01') AS year_month FROM orders),
+batch AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate, o_orderpriority,
+         year_month FROM target WHERE year_month = '1998-06-01'
+  UNION ALL
+  SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, year_month
+  FROM target WHERE year_month = '1998-06-01'
+  UNION ALL
+  SELECT * FROM target WHERE year_month = '1998-07-01'
+)"""
+
+ORACLE["merge_partition"] = f"""WITH {_ORDERS_T}
+SELECT * FROM target
+WHERE year_month IS DISTINCT FROM '1998-06-01' OR o_orderkey NOT IN (SELECT o_orderkey FROM batch)
+UNION ALL
+SELECT * FROM batch"""
+
+ORACLE["replace_partition"] = f"""WITH {_ORDERS_T}
+SELECT * FROM target WHERE year_month NOT IN (SELECT DISTINCT year_month FROM batch)
+UNION ALL
+SELECT * FROM batch"""
+
+_EVENTS_BM = """
+prior AS (
+  SELECT * FROM events
+  WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-14'
+    AND event_type IN ('click', 'error', 'purchase', 'signup')
+),
+bookmarks AS (SELECT event_type AS state, max(CAST(ts AS DATE)) AS last_date FROM prior GROUP BY 1),
+extracted AS (
+  SELECT e.* FROM events e LEFT JOIN bookmarks b ON e.event_type = b.state
+  WHERE CAST(e.ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-25'
+    AND e.event_type IN ('click', 'error', 'purchase', 'signup', 'view')
+    AND (b.last_date IS NULL OR CAST(e.ts AS DATE) > b.last_date)
+)"""
+
+ORACLE["incremental_extract"] = f"WITH {_EVENTS_BM}\nSELECT * FROM extracted"
+
+ORACLE["next_bookmarks"] = f"""WITH {_EVENTS_BM},
+new_bm AS (SELECT event_type AS state, max(CAST(ts AS DATE)) AS new_date FROM extracted GROUP BY 1)
+SELECT coalesce(n.state, b.state) AS state, greatest(n.new_date, b.last_date) AS last_date
+FROM new_bm n FULL OUTER JOIN bookmarks b ON n.state = b.state"""

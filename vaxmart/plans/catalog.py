@@ -106,3 +106,245 @@ def weekly_by_type(spark, sf_dir):
 def late_second_dose(spark, sf_dir):
     s = star_from_fixtures(spark, sf_dir)
     return analytics.late_second_dose(s.fact, s.vaccines, as_of=AS_OF)
+
+
+# --- building blocks ------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from vaxmart.functions.categories import normalize_category  # noqa: E402
+from vaxmart.functions.temporal import calendar_fields as _calendar_fields  # noqa: E402
+from vaxmart.functions.temporal import load_mode as _load_mode  # noqa: E402
+from vaxmart.functions.temporal import week_start, weeks_between  # noqa: E402
+from vaxmart.functions.temporal import year_month as _year_month  # noqa: E402
+from vaxmart.operators import quality as dq  # noqa: E402
+from vaxmart.operators.joins import anti_join_not_in as _anti_join  # noqa: E402
+from vaxmart.operators.windows import moving_average, percent_of_max as _pct_of_max, running_total  # noqa: E402
+from vaxmart.sources.fixtures import load_table, raw_population, raw_vaccinations  # noqa: E402
+
+
+def _daily_orders(spark, sf_dir):
+    orders = load_table(spark, sf_dir, "orders")
+    return orders.groupBy("o_orderstatus", F.col("o_orderdate").cast("date").alias("order_date")).agg(
+        F.count(F.lit(1)).alias("n_orders")
+    )
+
+
+@register
+def state_population_preagg(spark, sf_dir):
+    return analytics.state_populations(star_from_fixtures(spark, sf_dir).cities)
+
+
+@register
+def running_total_orders(spark, sf_dir):
+    """Running order count per status, one row per status and day."""
+    return running_total(_daily_orders(spark, sf_dir), ["o_orderstatus"], "order_date", "n_orders", "running_orders")
+
+
+@register
+def moving_average_rows(spark, sf_dir):
+    """Average daily order count over the last 30 rows (not days) per status."""
+    return moving_average(_daily_orders(spark, sf_dir), ["o_orderstatus"], "order_date", "n_orders", "avg_30_rows")
+
+
+@register
+def percent_of_max(spark, sf_dir):
+    orders = load_table(spark, sf_dir, "orders")
+    per_priority = orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n_orders"))
+    return _pct_of_max(per_priority, "n_orders", "pct_of_max")
+
+
+@register
+def normalize_vaccine_type(spark, sf_dir):
+    v = star_from_fixtures(spark, sf_dir).vaccines
+    return v.select("vaccine_sk", "vaccine_type_name", normalize_category("vaccine_type_name").alias("vaccine_type"))
+
+
+@register
+def week_boundaries(spark, sf_dir):
+    """Week start (Monday) of each order and week boundaries crossed until the fixed as-of date."""
+    orders = load_table(spark, sf_dir, "orders")
+    d = F.col("o_orderdate").cast("date")
+    return orders.select(
+        "o_orderkey",
+        d.alias("order_date"),
+        week_start(d).alias("week_start"),
+        weeks_between(d, F.lit(AS_OF)).alias("weeks_since"),
+    )
+
+
+@register
+def calendar_fields(spark, sf_dir):
+    dates = load_table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("full_date")).distinct()
+    return dates.select("full_date", *[c.alias(n) for n, c in _calendar_fields("full_date").items()])
+
+
+@register
+def year_month_bucket(spark, sf_dir):
+    li = load_table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", _year_month("l_shipdate").alias("year_month"))
+
+
+@register
+def month_end_load_mode(spark, sf_dir):
+    """Per distinct order date: full reload ('replace') on a month's last day, else 'append'."""
+    dates = load_table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("run_date")).distinct()
+    return dates.select("run_date", _load_mode("run_date").alias("load_mode"))
+
+
+@register
+def anti_join_not_in(spark, sf_dir):
+    """Customers NOT IN the set of customers with an urgent order."""
+    customer = load_table(spark, sf_dir, "customer")
+    urgent = load_table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    return _anti_join(customer, urgent, "c_custkey", "o_custkey")
+
+
+@register
+def union_all_summary(spark, sf_dir):
+    """Three one-row summaries stacked with UNION ALL (names from the first branch)."""
+    orders = load_table(spark, sf_dir, "orders")
+    a = orders.agg(F.lit("Orders").alias("category"), F.count(F.lit(1)).alias("n"))
+    b = orders.agg(F.lit("Customers with orders").alias("category"), F.countDistinct("o_custkey").alias("n"))
+    c = orders.where(F.col("o_orderpriority") == "1-URGENT").agg(
+        F.lit("Urgent orders").alias("category"), F.count(F.lit(1)).alias("n")
+    )
+    return a.unionByName(b).unionByName(c)
+
+
+@register
+def count_distinct_global(spark, sf_dir):
+    fact = star_from_fixtures(spark, sf_dir).fact
+    return fact.agg(F.countDistinct("patient_sk").alias("unique_patients"))
+
+
+@register
+def having_duplicates(spark, sf_dir):
+    """(l_orderkey, l_linenumber) pairs that occur more than once."""
+    return dq.duplicate_groups(load_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+# --- data quality -----------------------------------------------------------------
+
+
+@register
+def dq_unique_fact(spark, sf_dir):
+    return dq.check_unique(star_from_fixtures(spark, sf_dir).fact, "vaccination_sk", "fact_unique_vaccination_sk")
+
+
+@register
+def dq_unique_patient(spark, sf_dir):
+    return dq.check_unique(star_from_fixtures(spark, sf_dir).patients, "patient_sk", "dim_patients_unique_patient_sk")
+
+
+@register
+def dq_not_null_fact(spark, sf_dir):
+    return dq.check_not_null(star_from_fixtures(spark, sf_dir).fact, "vaccination_sk", "fact_not_null_vaccination_sk")
+
+
+@register
+def dq_not_null_patient(spark, sf_dir):
+    return dq.check_not_null(
+        star_from_fixtures(spark, sf_dir).patients, "patient_sk", "dim_patients_not_null_patient_sk"
+    )
+
+
+@register
+def dq_distinct_states(spark, sf_dir):
+    """Distinct facility states reached through the fact; the warehouse expects 6."""
+    s = star_from_fixtures(spark, sf_dir)
+    return dq.check_distinct_count(
+        s.fact, s.facilities, "facility_sk", "facility_state_abbrev", 6, "fact_distinct_states_count"
+    )
+
+
+@register
+def dq_unique_lineitem_fails(spark, sf_dir):
+    """Negative check: (l_orderkey, l_linenumber) is not unique in the driver's lineitem."""
+    return dq.check_unique(load_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "lineitem_unique_key")
+
+
+@register
+def dq_no_blank_key(spark, sf_dir):
+    s = star_from_fixtures(spark, sf_dir)
+    return dq.check_no_blank_key(s.fact, "patient_sk", "fact_no_blank_patient_sk")
+
+
+@register
+def dq_report(spark, sf_dir):
+    return dq.run_checks(
+        [QUERIES[n](spark, sf_dir) for n in
+         ("dq_unique_fact", "dq_unique_patient", "dq_not_null_fact", "dq_not_null_patient", "dq_distinct_states")]
+    )
+
+
+@register
+def contract_report(spark, sf_dir):
+    return dq.contract_report(raw_vaccinations(spark, sf_dir))
+
+
+# --- ingestion logic ---------------------------------------------------------------
+
+from vaxmart.operators import ingest  # noqa: E402
+from vaxmart.operators import merge as _merge  # noqa: E402
+
+# --- fixed values: the merge and extraction scenarios on the driver tables --
+MERGE_MONTH = "1998-06-01"
+MERGE_NEXT_MONTH = "1998-07-01"
+EVENT_STATES = ["click", "error", "purchase", "signup", "view"]
+PRIOR_RUN_STATES = ["click", "error", "purchase", "signup"]  # 'view' has no bookmark yet
+PRIOR_RUN_UNTIL = "2024-01-14"
+RUN_UNTIL = "2024-01-25"
+
+
+def _orders_table(spark, sf_dir):
+    orders = load_table(spark, sf_dir, "orders")
+    return orders.withColumn("year_month", _year_month("o_orderdate"))
+
+
+def _orders_batch(target):
+    """New rows for MERGE_MONTH: every row of the month with a changed price,
+    the same rows under new (negated) keys, and the next month's rows as-is
+    (rows of another partition whose keys also live there)."""
+    month = target.where(F.col("year_month") == MERGE_MONTH)
+    changed = month.withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    new_keys = month.withColumn("o_orderkey", -F.col("o_orderkey"))
+    other = target.where(F.col("year_month") == MERGE_NEXT_MONTH)
+    return changed.unionByName(new_keys).unionByName(other)
+
+
+@register
+def merge_partition(spark, sf_dir):
+    target = _orders_table(spark, sf_dir)
+    return _merge.merge_partition(target, _orders_batch(target), "o_orderkey", "year_month", MERGE_MONTH)
+
+
+@register
+def replace_partition(spark, sf_dir):
+    target = _orders_table(spark, sf_dir)
+    return _merge.replace_partition(target, _orders_batch(target), "year_month")
+
+
+def _event_bookmarks(events):
+    prior = ingest.incremental_extract(
+        events, PRIOR_RUN_UNTIL, None, state_col="event_type", date_col="ts", states=PRIOR_RUN_STATES
+    )
+    return ingest.next_bookmarks(prior, None, state_col="event_type", date_col="ts")
+
+
+@register
+def incremental_extract(spark, sf_dir):
+    events = load_table(spark, sf_dir, "events")
+    return ingest.incremental_extract(
+        events, RUN_UNTIL, _event_bookmarks(events), state_col="event_type", date_col="ts", states=EVENT_STATES
+    )
+
+
+@register
+def next_bookmarks(spark, sf_dir):
+    events = load_table(spark, sf_dir, "events")
+    previous = _event_bookmarks(events)
+    current = ingest.incremental_extract(
+        events, RUN_UNTIL, previous, state_col="event_type", date_col="ts", states=EVENT_STATES
+    )
+    return ingest.next_bookmarks(current, previous, state_col="event_type", date_col="ts")
