@@ -493,3 +493,7 @@ ORACLE["next_bookmarks"] = f"""WITH {_EVENTS_BM},
 new_bm AS (SELECT event_type AS state, max(CAST(ts AS DATE)) AS new_date FROM extracted GROUP BY 1)
 SELECT coalesce(n.state, b.state) AS state, greatest(n.new_date, b.last_date) AS last_date
 FROM new_bm n FULL OUTER JOIN bookmarks b ON n.state = b.state"""
+
+# --- landing files and streaming: the table that was landed comes back whole ------
+ORACLE["csv_roundtrip_land_and_load"] = with_star("SELECT * FROM raw_vaccinations")
+ORACLE["stream_merge_available_now"] = with_star("SELECT * FROM raw_vaccinations")

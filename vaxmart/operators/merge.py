@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vaxmart.sources.tables import rebalanced
+
 
 def _keys(pk: str | Sequence[str]) -> list[str]:
     return [pk] if isinstance(pk, str) else list(pk)
@@ -73,7 +75,7 @@ def write_merge(
     carried = target.where(~in_partition).join(other_parts, partition_col, "left_semi")
     rows = survivors.unionByName(carried).unionByName(batch.select(*target.columns))
     (
-        rows.write.mode("overwrite")
+        rebalanced(rows, [partition_col]).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
         .parquet(target_path)
@@ -83,7 +85,7 @@ def write_merge(
 def write_replace(batch: DataFrame, target_path: str, partition_col: str) -> None:
     """Replace exactly the partitions present in ``batch`` (dynamic overwrite)."""
     (
-        batch.write.mode("overwrite")
+        rebalanced(batch, [partition_col]).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
         .parquet(target_path)

@@ -348,3 +348,37 @@ def next_bookmarks(spark, sf_dir):
         events, RUN_UNTIL, previous, state_col="event_type", date_col="ts", states=EVENT_STATES
     )
     return ingest.next_bookmarks(current, previous, state_col="event_type", date_col="ts")
+
+
+# --- landing files and streaming (these write under spark.checkpoint.dir) ----------
+
+from vaxmart.schemas import RAW_VACCINATIONS  # noqa: E402
+from vaxmart.session import scratch_path  # noqa: E402
+from vaxmart.sources import csv as _csv  # noqa: E402
+from vaxmart.sources.tables import land_partitioned  # noqa: E402
+from vaxmart.streaming.merge_stream import stream_merge  # noqa: E402
+
+# --- fixed value: bad-row budget of the vaccination load -------------------
+VACCINATION_MAX_ERRORS = 100
+
+
+@register
+def csv_roundtrip_land_and_load(spark, sf_dir):
+    """Land the raw table as partitioned gzip CSV, then bulk-load it back
+    through the positional reader with the bad-row budget."""
+    base = scratch_path(spark, "landing")
+    land_partitioned(raw_vaccinations(spark, sf_dir), base, mode="append")
+    return _csv.load_csv(spark, _csv.landing_glob(base), RAW_VACCINATIONS, max_errors=VACCINATION_MAX_ERRORS)
+
+
+@register
+def stream_merge_available_now(spark, sf_dir):
+    """Land the raw table, ingest the landing files with an availableNow
+    stream that merges each micro-batch into a partitioned Parquet table,
+    and return that table."""
+    base = scratch_path(spark, "landing")
+    target = scratch_path(spark, "raw_vaccinations")
+    land_partitioned(raw_vaccinations(spark, sf_dir), base, mode="append")
+    query = stream_merge(spark, base, target, scratch_path(spark, "stream-ckpt"), pk="document_id")
+    query.awaitTermination()
+    return spark.read.parquet(target).select(*RAW_VACCINATIONS.names)

@@ -37,7 +37,8 @@ def build_session(
 ) -> SparkSession:
     """Create (or reuse) a session with the library's required settings."""
     builder = SparkSession.builder.master(master).appName(app_name)
-    conf = {**REQUIRED_CONF, **ADAPTIVE_CONF, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    conf = {**REQUIRED_CONF, **ADAPTIVE_CONF, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+            "spark.sql.execution.arrow.pyspark.enabled": "true"}
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

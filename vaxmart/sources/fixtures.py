@@ -79,9 +79,11 @@ def raw_vaccinations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     part = load_table(spark, sf_dir, "part")
 
+    # Orders meet customers first (an orders-sized shuffle on custkey), so
+    # line items are shuffled on orderkey, suppkey and partkey only once each.
+    patients = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     joined = (
-        lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        lineitem.join(patients, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
     )

@@ -80,9 +80,18 @@ def write_layout(
     return out
 
 
+def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Shuffle rows by the output partition columns with the ``rebalance``
+    hint before a partitioned write: AQE merges small shuffle partitions and
+    splits skewed ones, so each output directory gets few, evenly sized
+    files, and a partition holding a third of the rows is written by many
+    tasks, not one."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def rebuild_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """DROP + CREATE TABLE AS: replace the whole table at ``path``."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = rebalanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -110,7 +119,7 @@ def land_partitioned(
     if mode not in ("append", "replace"):
         raise ValueError("mode must be 'append' or 'replace'")
     data_cols = [F.col(c).alias(c + IN_FILE_SUFFIX) if c in partition_by else F.col(c) for c in df.columns]
-    out = df.select(*data_cols, *[F.col(p) for p in partition_by])
+    out = rebalanced(df.select(*data_cols, *[F.col(p) for p in partition_by]), partition_by)
     writer = (
         out.write.partitionBy(*partition_by)
         .option("header", True)
