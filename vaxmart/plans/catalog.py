@@ -368,7 +368,10 @@ def csv_roundtrip_land_and_load(spark, sf_dir):
     through the positional reader with the bad-row budget."""
     base = scratch_path(spark, "landing")
     land_partitioned(raw_vaccinations(spark, sf_dir), base, mode="append")
-    return _csv.load_csv(spark, _csv.landing_glob(base), RAW_VACCINATIONS, max_errors=VACCINATION_MAX_ERRORS)
+    return _csv.load_csv_to_table(
+        spark, _csv.landing_glob(base), RAW_VACCINATIONS, scratch_path(spark, "raw_vaccinations"),
+        max_errors=VACCINATION_MAX_ERRORS,
+    )
 
 
 @register

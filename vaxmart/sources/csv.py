@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,6 +66,10 @@ class CsvLoad:
 
     @property
     def good(self) -> DataFrame:
+        """Rows that parsed. Consume whole rows (write, collect): Spark parses
+        only the columns a query references, so a narrower projection would
+        miss bad values in the other columns, and a bare ``count()`` (corrupt
+        column only) is refused. :func:`load_csv_to_table` does this."""
         return self.parsed.where(F.col(CORRUPT).isNull()).select(*self.columns)
 
     @property
@@ -73,10 +77,11 @@ class CsvLoad:
         return self.parsed.where(F.col(CORRUPT).isNotNull())
 
     def reject_count(self) -> int:
-        # Spark refuses a query on the corrupt column alone; counting a real
-        # column alongside it keeps this a single parsing pass.
+        # Spark converts only the columns a query references, and refuses a
+        # query on the corrupt column alone: hashing the whole row makes every
+        # field parse, so a bad value in any column counts, in one pass.
         row = self.parsed.agg(
-            F.count_if(F.col(CORRUPT).isNotNull()).alias("bad"), F.count(F.col(self.columns[0])).alias("_n")
+            F.count_if(F.col(CORRUPT).isNotNull()).alias("bad"), F.max(F.xxhash64(*self.columns)).alias("_all")
         ).first()
         return int(row["bad"])
 
@@ -99,12 +104,59 @@ def read_csv_bulk(
 def load_csv(
     spark: SparkSession, path: str | list[str], schema: T.StructType, max_errors: int = 0, header: bool = True
 ) -> DataFrame:
-    """Good rows of a bulk load, after checking the bad-row budget (raises)."""
+    """Good rows of a bulk load, after checking the bad-row budget (raises).
+
+    Two passes over the files (count, then whatever consumes the result);
+    :func:`load_csv_to_table` loads in one pass."""
     load = read_csv_bulk(spark, path, schema, max_errors=max_errors, header=header)
     load.check_budget()
     return load.good
 
 
+def load_csv_to_table(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    target_path: str,
+    max_errors: int = 0,
+    header: bool = True,
+    budget_check: str = "during",
+    partition_by: list[str] | None = None,
+) -> DataFrame:
+    """Bulk-load CSV into the Parquet table at ``target_path``; return it.
+
+    ``budget_check="during"``: one parsing pass — the reject count is an
+    ``observe`` metric of the write job and is checked when it commits; on
+    excess the table is written but :class:`RejectBudgetExceeded` is raised,
+    so load into a fresh path and publish it only on success.
+    ``budget_check="before"``: a counting pass first; nothing is written
+    when the budget is exceeded (the warehouse behaviour), at the price of
+    parsing the files twice.
+    """
+    from vaxmart.sources.tables import rebalanced
+
+    load = read_csv_bulk(spark, path, schema, max_errors=max_errors, header=header)
+    if budget_check == "before":
+        load.check_budget()
+        parsed = load.parsed
+        obs = None
+    elif budget_check == "during":
+        obs = Observation("csv_rejects")
+        parsed = load.parsed.observe(obs, F.count_if(F.col(CORRUPT).isNotNull()).alias("bad"))
+    else:
+        raise ValueError("budget_check must be 'during' or 'before'")
+    good = parsed.where(F.col(CORRUPT).isNull()).select(*load.columns)
+    writer = rebalanced(good, partition_by or []).write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(target_path)
+    if obs is not None:
+        n = int(obs.get.get("bad", 0) or 0)
+        if not rejects_allowed(n, max_errors):
+            raise RejectBudgetExceeded(f"{n} rejected rows; budget {max_errors} (table written to {target_path})")
+    return spark.read.parquet(target_path).select(*load.columns)
+
+
 def partition_path(base: str, column: str, value: str) -> str:
     return f"{base.rstrip('/')}/{column}={value}"
 
