@@ -336,7 +336,7 @@ daily_orders AS (
   FROM orders GROUP BY 1, 2
 )"""
 
-ORACLE["running_total_orders"] = f"""WITH {_DAILY_ORDERS}
+ORACLE["running_total"] = f"""WITH {_DAILY_ORDERS}
 SELECT *, CAST(sum(n_orders) OVER (PARTITION BY o_orderstatus ORDER BY order_date
           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_orders
 FROM daily_orders"""
@@ -351,7 +351,7 @@ SELECT o_orderpriority, n_orders,
        round(100 * (CAST(n_orders AS DOUBLE) / max(n_orders) OVER ()), 2) AS pct_of_max
 FROM (SELECT o_orderpriority, count(*) AS n_orders FROM orders GROUP BY 1)"""
 
-ORACLE["normalize_vaccine_type"] = with_star(
+ORACLE["normalize_category"] = with_star(
     f"SELECT vaccine_sk, vaccine_type_name, {NORMALIZE_SQL.format(c='vaccine_type_name')} AS vaccine_type "
     "FROM dim_vaccines")
 
@@ -497,3 +497,8 @@ FROM new_bm n FULL OUTER JOIN bookmarks b ON n.state = b.state"""
 # --- landing files and streaming: the table that was landed comes back whole ------
 ORACLE["csv_roundtrip_land_and_load"] = with_star("SELECT * FROM raw_vaccinations")
 ORACLE["stream_merge_available_now"] = with_star("SELECT * FROM raw_vaccinations")
+ORACLE["stg_normalized_type"] = with_star(
+    f"SELECT vaccination_sk, vaccine_type_name, {NORMALIZE_SQL.format(c='vaccine_type_name')} AS vaccine_normalized_type "
+    "FROM staging")
+ORACLE["load_if_empty"] = with_star("SELECT * FROM raw_population")
+ORACLE["csv_reject_budget"] = with_star("SELECT * FROM raw_population")

@@ -21,9 +21,20 @@ from vaxmart.schemas import FACILITY_ATTRIBUTES, FACT_COLUMNS, PATIENT_ATTRIBUTE
 
 
 def collapse_dimension(
-    df: DataFrame, key: str, attributes: Sequence[str], casts: dict[str, str] | None = None
+    df: DataFrame,
+    key: str,
+    attributes: Sequence[str],
+    casts: dict[str, str] | None = None,
+    dedup_first: bool = True,
 ) -> DataFrame:
-    """One row per ``key``; every attribute is its own ``max`` over the group."""
+    """One row per ``key``; every attribute is its own ``max`` over the group.
+
+    ``max`` ignores repeats, so distinct (key, attributes) rows give the same
+    result. With ``dedup_first`` the repeats are dropped by a hash aggregate
+    on the map side first; the string ``max`` (which Spark evaluates with a
+    sort-based aggregate) then sorts only the distinct rows instead of every
+    staging row.
+    """
     casts = casts or {}
     aggs = []
     for a in attributes:
@@ -31,7 +42,8 @@ def collapse_dimension(
         if a in casts:
             agg = agg.cast(casts[a])
         aggs.append(agg.alias(a))
-    return df.groupBy(key).agg(*aggs)
+    source = df.select(key, *attributes).distinct() if dedup_first else df
+    return source.groupBy(key).agg(*aggs)
 
 
 def build_patients(staging: DataFrame) -> DataFrame:

@@ -61,6 +61,17 @@ def add_surrogate_keys(
     return staged.select(*[surrogate_key(*cols, separator=separator).alias(name) for name, cols in keys], "*")
 
 
-def build_staging(raw: DataFrame, strict: bool = True, separator: str = "") -> DataFrame:
-    """staging_vaccinations: 5 surrogate keys + 38 renamed/typed columns."""
-    return add_surrogate_keys(rename_and_cast(raw, strict=strict), separator=separator)
+def build_staging(
+    raw: DataFrame, strict: bool = True, separator: str = "", normalized_type: bool = False
+) -> DataFrame:
+    """staging_vaccinations: 5 surrogate keys + 38 renamed/typed columns.
+
+    ``normalized_type=True`` appends ``vaccine_normalized_type`` (the vaccine
+    type rules applied once at load time instead of in every analysis).
+    """
+    staged = add_surrogate_keys(rename_and_cast(raw, strict=strict), separator=separator)
+    if normalized_type:
+        from vaxmart.functions.categories import normalize_category
+
+        staged = staged.withColumn("vaccine_normalized_type", normalize_category("vaccine_type_name"))
+    return staged

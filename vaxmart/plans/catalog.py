@@ -112,14 +112,16 @@ def late_second_dose(spark, sf_dir):
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from vaxmart.functions.categories import normalize_category  # noqa: E402
+from vaxmart.functions.categories import normalize_category as _normalize  # noqa: E402
 from vaxmart.functions.temporal import calendar_fields as _calendar_fields  # noqa: E402
 from vaxmart.functions.temporal import load_mode as _load_mode  # noqa: E402
 from vaxmart.functions.temporal import week_start, weeks_between  # noqa: E402
 from vaxmart.functions.temporal import year_month as _year_month  # noqa: E402
 from vaxmart.operators import quality as dq  # noqa: E402
 from vaxmart.operators.joins import anti_join_not_in as _anti_join  # noqa: E402
-from vaxmart.operators.windows import moving_average, percent_of_max as _pct_of_max, running_total  # noqa: E402
+from vaxmart.operators.windows import moving_average  # noqa: E402
+from vaxmart.operators.windows import percent_of_max as _pct_of_max  # noqa: E402
+from vaxmart.operators.windows import running_total as _running_total  # noqa: E402
 from vaxmart.sources.fixtures import load_table, raw_population, raw_vaccinations  # noqa: E402
 
 
@@ -136,9 +138,9 @@ def state_population_preagg(spark, sf_dir):
 
 
 @register
-def running_total_orders(spark, sf_dir):
+def running_total(spark, sf_dir):
     """Running order count per status, one row per status and day."""
-    return running_total(_daily_orders(spark, sf_dir), ["o_orderstatus"], "order_date", "n_orders", "running_orders")
+    return _running_total(_daily_orders(spark, sf_dir), ["o_orderstatus"], "order_date", "n_orders", "running_orders")
 
 
 @register
@@ -155,9 +157,19 @@ def percent_of_max(spark, sf_dir):
 
 
 @register
-def normalize_vaccine_type(spark, sf_dir):
+def normalize_category(spark, sf_dir):
+    """Vaccine type rules applied to every vaccine of the dimension."""
     v = star_from_fixtures(spark, sf_dir).vaccines
-    return v.select("vaccine_sk", "vaccine_type_name", normalize_category("vaccine_type_name").alias("vaccine_type"))
+    return v.select("vaccine_sk", "vaccine_type_name", _normalize("vaccine_type_name").alias("vaccine_type"))
+
+
+@register
+def stg_normalized_type(spark, sf_dir):
+    """Staging with the normalised vaccine type as a column (vaccine_sk, type name, normalised type)."""
+    from vaxmart.operators.staging import build_staging
+
+    st = build_staging(raw_vaccinations(spark, sf_dir), normalized_type=True)
+    return st.select("vaccination_sk", "vaccine_type_name", "vaccine_normalized_type")
 
 
 @register
@@ -385,3 +397,36 @@ def stream_merge_available_now(spark, sf_dir):
     query = stream_merge(spark, base, target, scratch_path(spark, "stream-ckpt"), pk="document_id")
     query.awaitTermination()
     return spark.read.parquet(target).select(*RAW_VACCINATIONS.names)
+
+
+@register
+def load_if_empty(spark, sf_dir):
+    """Create the population table, load it, then try a second (different)
+    load: it must be skipped because the table already has rows."""
+    from vaxmart.schemas import RAW_POPULATION
+    from vaxmart.sources.tables import ensure_table
+    from vaxmart.sources.tables import load_if_empty as _load_if_empty
+
+    path = scratch_path(spark, "raw_population")
+    ensure_table(spark, path, RAW_POPULATION)
+    pop = raw_population(spark, sf_dir)
+    _load_if_empty(spark, path, pop)
+    _load_if_empty(spark, path, pop.withColumn("estimated_population", F.col("estimated_population") * 2))
+    return spark.read.parquet(path)
+
+
+@register
+def csv_reject_budget(spark, sf_dir):
+    """Population CSV landed next to a file of region rows (two fields per
+    line, so every one of them is malformed): the load keeps the population
+    rows and passes while the rejects stay under the budget."""
+    from vaxmart.schemas import RAW_POPULATION
+
+    base = scratch_path(spark, "population-landing")
+    pop = raw_population(spark, sf_dir)
+    pop.write.option("header", True).csv(f"{base}/population")
+    load_table(spark, sf_dir, "region").write.option("header", True).csv(f"{base}/stray")
+    return _csv.load_csv_to_table(
+        spark, f"{base}/*/*.csv", RAW_POPULATION, scratch_path(spark, "raw_population"),
+        max_errors=VACCINATION_MAX_ERRORS,
+    )
