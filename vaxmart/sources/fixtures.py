@@ -81,9 +81,11 @@ def raw_vaccinations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # Orders meet customers first (an orders-sized shuffle on custkey), so
     # line items are shuffled on orderkey, suppkey and partkey only once each.
+    # Line items and orders both grow with the data, so their join is a
+    # sort-merge join at any size rather than a broadcast of orders.
     patients = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     joined = (
-        lineitem.join(patients, F.col("l_orderkey") == F.col("o_orderkey"))
+        lineitem.join(patients.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
     )
