@@ -21,19 +21,15 @@ from vaxmart.schemas import FACILITY_ATTRIBUTES, FACT_COLUMNS, PATIENT_ATTRIBUTE
 
 
 def collapse_dimension(
-    df: DataFrame,
-    key: str,
-    attributes: Sequence[str],
-    casts: dict[str, str] | None = None,
-    dedup_first: bool = True,
+    df: DataFrame, key: str, attributes: Sequence[str], casts: dict[str, str] | None = None
 ) -> DataFrame:
     """One row per ``key``; every attribute is its own ``max`` over the group.
 
-    ``max`` ignores repeats, so distinct (key, attributes) rows give the same
-    result. With ``dedup_first`` the repeats are dropped by a hash aggregate
-    on the map side first; the string ``max`` (which Spark evaluates with a
-    sort-based aggregate) then sorts only the distinct rows instead of every
-    staging row.
+    Spark evaluates ``max`` of strings with a sort-based aggregate, still in
+    two phases: a partial aggregate per map task, then the final one after
+    the shuffle on ``key``. (Dropping duplicate rows first would not help:
+    Catalyst removes such a ``distinct`` below duplicate-insensitive
+    aggregates.)
     """
     casts = casts or {}
     aggs = []
@@ -42,8 +38,7 @@ def collapse_dimension(
         if a in casts:
             agg = agg.cast(casts[a])
         aggs.append(agg.alias(a))
-    source = df.select(key, *attributes).distinct() if dedup_first else df
-    return source.groupBy(key).agg(*aggs)
+    return df.groupBy(key).agg(*aggs)
 
 
 def build_patients(staging: DataFrame) -> DataFrame:

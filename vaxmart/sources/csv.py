@@ -129,6 +129,9 @@ def load_csv_to_table(
     ``observe`` metric of the write job and is checked when it commits; on
     excess the table is written but :class:`RejectBudgetExceeded` is raised,
     so load into a fresh path and publish it only on success.
+    The observed count can only over-count (a shuffle-map stage re-run after
+    a lost executor adds its rows again), so it never lets a load through
+    that is over budget.
     ``budget_check="before"``: a counting pass first; nothing is written
     when the budget is exceeded (the warehouse behaviour), at the price of
     parsing the files twice.
