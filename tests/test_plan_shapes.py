@@ -63,6 +63,8 @@ def test_percent_of_max_uses_a_scalar_subquery(spark):
     p = plan(df)
     assert "Subquery" in p
     assert "Window" not in p and "CartesianProduct" not in p and "NestedLoopJoin" not in p
+    df.collect()
+    assert "ReusedExchange" in plan(df)  # the input's shuffle is computed once for both
 
 
 def test_not_in_is_not_a_null_aware_broadcast(spark):
