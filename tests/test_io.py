@@ -124,6 +124,17 @@ def test_merge_partition_keeps_warehouse_semantics(spark, workdir):
     assert replaced == sorted([(3, "other", "2021-06")] + [tuple(r) for r in batch.collect()])
 
 
+def test_write_merge_can_empty_the_loaded_partition(spark, workdir):
+    target = _orders(spark, [(1, "a", "2021-07"), (2, "b", "2021-07"), (3, "c", "2021-06")])
+    batch = _orders(spark, [(1, "moved", "2021-08"), (2, "moved", "2021-08")])
+    path = f"{workdir}/t"
+    target.write.partitionBy("ym").parquet(path)
+    merge.write_merge(spark, path, batch, "pk", "ym", "2021-07")
+    disk = sorted(tuple(r) for r in spark.read.parquet(path).select("pk", "v", "ym").collect())
+    lazy = sorted(tuple(r) for r in merge.merge_partition(target, batch, "pk", "ym", "2021-07").collect())
+    assert disk == lazy == [(1, "moved", "2021-08"), (2, "moved", "2021-08"), (3, "c", "2021-06")]
+
+
 def test_merge_twice_equals_merge_once(spark):
     target = _orders(spark, [(1, "old", "2021-07"), (2, "keep", "2021-07")])
     batch = _orders(spark, [(1, "new", "2021-07"), (7, "n", "2021-07")])

@@ -74,12 +74,22 @@ def write_merge(
     other_parts = batch.where(~in_partition).select(partition_col).distinct()
     carried = target.where(~in_partition).join(other_parts, partition_col, "left_semi")
     rows = survivors.unionByName(carried).unionByName(batch.select(*target.columns))
+    # Dynamic overwrite cannot empty a partition. If the batch has no row of
+    # the loaded partition and deletes all of its rows, clear the partition
+    # directory with a static overwrite of an empty frame (nothing is read
+    # from it then: the survivors are empty).
+    clear = batch.where(in_partition).isEmpty() and survivors.isEmpty()
     (
         rebalanced(rows, [partition_col]).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
         .parquet(target_path)
     )
+    if clear:
+        empty = spark.createDataFrame([], target.drop(partition_col).schema)
+        empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            f"{target_path.rstrip('/')}/{partition_col}={partition_value}"
+        )
 
 
 def write_replace(batch: DataFrame, target_path: str, partition_col: str) -> None:

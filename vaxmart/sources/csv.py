@@ -26,14 +26,20 @@ class RejectBudgetExceeded(RuntimeError):
     pass
 
 
-def csv_reader(spark: SparkSession, schema: T.StructType, header: bool = True, with_corrupt: bool = False):
+def csv_reader(
+    spark: SparkSession, schema: T.StructType, header: bool = True, with_corrupt: bool = False, multi_line: bool = True
+):
+    """Reader for the landing format. ``multi_line`` allows newlines inside
+    quoted fields; it reads each file in one task, which costs nothing for
+    gzip files (never splittable) — set it False for large plain files whose
+    fields hold no newlines, so they split."""
     full = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)]) if with_corrupt else schema
     reader = (
         spark.read.schema(full)
         .option("header", header)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("enforceSchema", True)
         .option("mode", "PERMISSIVE")
     )
@@ -93,11 +99,16 @@ class CsvLoad:
 
 
 def read_csv_bulk(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, max_errors: int = 0, header: bool = True
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    max_errors: int = 0,
+    header: bool = True,
+    multi_line: bool = True,
 ) -> CsvLoad:
     """Positional CSV read with an explicit schema; malformed rows (wrong
     field count, bad number) are kept aside instead of failing the read."""
-    parsed = csv_reader(spark, schema, header=header, with_corrupt=True).csv(path)
+    parsed = csv_reader(spark, schema, header=header, with_corrupt=True, multi_line=multi_line).csv(path)
     return CsvLoad(parsed=parsed, columns=schema.names, max_errors=max_errors)
 
 
@@ -122,6 +133,7 @@ def load_csv_to_table(
     header: bool = True,
     budget_check: str = "during",
     partition_by: list[str] | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Bulk-load CSV into the Parquet table at ``target_path``; return it.
 
@@ -138,7 +150,7 @@ def load_csv_to_table(
     """
     from vaxmart.sources.tables import rebalanced
 
-    load = read_csv_bulk(spark, path, schema, max_errors=max_errors, header=header)
+    load = read_csv_bulk(spark, path, schema, max_errors=max_errors, header=header, multi_line=multi_line)
     if budget_check == "before":
         load.check_budget()
         parsed = load.parsed
