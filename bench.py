@@ -16,7 +16,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -24,7 +23,7 @@ sys.path.insert(0, ROOT)
 
 from vaxmart.plans import analytics, pipeline  # noqa: E402
 from vaxmart.plans.catalog import AS_OF, QUERIES  # noqa: E402
-from vaxmart.session import build_session  # noqa: E402
+from vaxmart.session import build_session, scratch_path  # noqa: E402
 from vaxmart.sources import fixtures  # noqa: E402
 
 RAW_QUERIES = [
@@ -57,9 +56,6 @@ def main() -> None:
         extra_conf={"spark.driver.memory": "8g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
-    scratch = tempfile.mkdtemp(prefix="vaxmart-bench-")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", scratch)
 
     times: dict[str, float] = {}
     for name in RAW_QUERIES:
@@ -67,7 +63,7 @@ def main() -> None:
     for name in RAW_QUERIES:
         times[f"{name}_raw"] = timed(lambda n=name: run_noop(QUERIES[n](spark, sf_dir)))
 
-    wh_root = os.path.join(scratch, "warehouse")
+    wh_root = scratch_path(spark, "bench-warehouse")
     times["pipeline"] = timed(
         lambda: pipeline.run(
             spark,

@@ -10,10 +10,29 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from vaxmart.functions.categories import normalize_category as _normalize
+from vaxmart.functions.temporal import calendar_fields as _calendar_fields
+from vaxmart.functions.temporal import load_mode as _load_mode
+from vaxmart.functions.temporal import week_start, weeks_between
+from vaxmart.functions.temporal import year_month as _year_month
+from vaxmart.operators import ingest
+from vaxmart.operators import merge as _merge
+from vaxmart.operators import quality as dq
+from vaxmart.operators.joins import anti_join_not_in as _anti_join
+from vaxmart.operators.windows import moving_average
+from vaxmart.operators.windows import percent_of_max as _pct_of_max
+from vaxmart.operators.windows import running_total as _running_total
 from vaxmart.plans import analytics
 from vaxmart.plans.star import star_from_fixtures
+from vaxmart.schemas import RAW_VACCINATIONS
 from vaxmart.session import apply_required_conf
+from vaxmart.session import scratch_path
+from vaxmart.sources import csv as _csv
+from vaxmart.sources.fixtures import load_table, raw_population, raw_vaccinations
+from vaxmart.sources.tables import land_partitioned
+from vaxmart.streaming.merge_stream import stream_merge
 
 # Fixed "today" of the fixtures, so week-based results do not drift.
 AS_OF = dt.date(2001, 11, 5)
@@ -110,20 +129,6 @@ def late_second_dose(spark, sf_dir):
 
 # --- building blocks ------------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from vaxmart.functions.categories import normalize_category as _normalize  # noqa: E402
-from vaxmart.functions.temporal import calendar_fields as _calendar_fields  # noqa: E402
-from vaxmart.functions.temporal import load_mode as _load_mode  # noqa: E402
-from vaxmart.functions.temporal import week_start, weeks_between  # noqa: E402
-from vaxmart.functions.temporal import year_month as _year_month  # noqa: E402
-from vaxmart.operators import quality as dq  # noqa: E402
-from vaxmart.operators.joins import anti_join_not_in as _anti_join  # noqa: E402
-from vaxmart.operators.windows import moving_average  # noqa: E402
-from vaxmart.operators.windows import percent_of_max as _pct_of_max  # noqa: E402
-from vaxmart.operators.windows import running_total as _running_total  # noqa: E402
-from vaxmart.sources.fixtures import load_table, raw_population, raw_vaccinations  # noqa: E402
-
 
 def _daily_orders(spark, sf_dir):
     orders = load_table(spark, sf_dir, "orders")
@@ -297,8 +302,6 @@ def contract_report(spark, sf_dir):
 
 # --- ingestion logic ---------------------------------------------------------------
 
-from vaxmart.operators import ingest  # noqa: E402
-from vaxmart.operators import merge as _merge  # noqa: E402
 
 # --- fixed values: the merge and extraction scenarios on the driver tables --
 MERGE_MONTH = "1998-06-01"
@@ -364,11 +367,6 @@ def next_bookmarks(spark, sf_dir):
 
 # --- landing files and streaming (these write under spark.checkpoint.dir) ----------
 
-from vaxmart.schemas import RAW_VACCINATIONS  # noqa: E402
-from vaxmart.session import scratch_path  # noqa: E402
-from vaxmart.sources import csv as _csv  # noqa: E402
-from vaxmart.sources.tables import land_partitioned  # noqa: E402
-from vaxmart.streaming.merge_stream import stream_merge  # noqa: E402
 
 # --- fixed value: bad-row budget of the vaccination load -------------------
 VACCINATION_MAX_ERRORS = 100
