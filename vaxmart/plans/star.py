@@ -1,8 +1,12 @@
-"""The star schema as lazy DataFrames: staging -> 5 dimensions + 1 fact."""
+"""The star schema as lazy DataFrames: staging -> 5 dimensions + 1 fact.
+
+Each table is built on first access only, so a query that needs the fact
+and one dimension does not construct (and analyse) the others.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,30 +15,49 @@ from vaxmart.operators.staging import build_staging
 from vaxmart.sources import fixtures
 
 
-@dataclass
 class Star:
-    staging: DataFrame
-    fact: DataFrame
-    patients: DataFrame
-    facilities: DataFrame
-    vaccines: DataFrame
-    cities: DataFrame
-    calendar: DataFrame
+    def __init__(self, raw_vaccinations: DataFrame, raw_population: DataFrame, strict: bool = True):
+        self.raw_vaccinations = raw_vaccinations
+        self.raw_population = raw_population
+        self.strict = strict
+
+    @cached_property
+    def staging(self) -> DataFrame:
+        return build_staging(self.raw_vaccinations, strict=self.strict)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return dims.build_fact(self.staging)
+
+    @cached_property
+    def patients(self) -> DataFrame:
+        return dims.build_patients(self.staging)
+
+    @cached_property
+    def facilities(self) -> DataFrame:
+        return dims.build_facilities(self.staging)
+
+    @cached_property
+    def vaccines(self) -> DataFrame:
+        return dims.build_vaccines(self.staging)
+
+    @cached_property
+    def cities(self) -> DataFrame:
+        return dims.build_cities(self.raw_population)
+
+    @cached_property
+    def calendar(self) -> DataFrame:
+        return dims.build_calendar(self.fact)
 
 
 def build_star(raw_vaccinations: DataFrame, raw_population: DataFrame, strict: bool = True) -> Star:
-    staging = build_staging(raw_vaccinations, strict=strict)
-    fact = dims.build_fact(staging)
-    return Star(
-        staging=staging,
-        fact=fact,
-        patients=dims.build_patients(staging),
-        facilities=dims.build_facilities(staging),
-        vaccines=dims.build_vaccines(staging),
-        cities=dims.build_cities(raw_population),
-        calendar=dims.build_calendar(fact),
-    )
+    return Star(raw_vaccinations, raw_population, strict=strict)
 
 
 def star_from_fixtures(spark: SparkSession, sf_dir: str) -> Star:
-    return build_star(fixtures.raw_vaccinations(spark, sf_dir), fixtures.raw_population(spark, sf_dir))
+    """The star over the driver's tables; one (lazy) instance per session and directory."""
+    return fixtures.memo(
+        spark,
+        ("star", sf_dir),
+        lambda: build_star(fixtures.raw_vaccinations(spark, sf_dir), fixtures.raw_population(spark, sf_dir)),
+    )

@@ -14,6 +14,8 @@ and otherwise shuffles both sides on the join key.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +23,23 @@ from vaxmart.schemas import RAW_VACCINATIONS
 from vaxmart.session import table_path
 
 
+# Plans built from the driver's tables, per session. The tables are
+# read-only inputs, and a DataFrame is an immutable plan, so queries of one
+# session can share them; this saves listing files, reading footers and
+# re-analysing the nine-way mapping for every query.
+_PLANS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
+def memo(spark: SparkSession, key: tuple, build):
+    per_session = _PLANS.setdefault(spark, {})
+    if key not in per_session:
+        per_session[key] = build()
+    return per_session[key]
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    return memo(spark, ("table", path), lambda: spark.read.parquet(path))
 
 
 def _s(c: str | Column) -> Column:
@@ -34,11 +51,17 @@ def _date_text(c: str) -> Column:
     return F.col(c).cast("date").cast("string")
 
 
-def _nation_region(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
+def _nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = load_table(spark, sf_dir, "nation")
     region = load_table(spark, sf_dir, "region")
+    return nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
+        "n_nationkey", "n_name", "r_name"
+    )
+
+
+def _prefixed(places: DataFrame, prefix: str) -> DataFrame:
     return F.broadcast(
-        nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
+        places.select(
             F.col("n_nationkey").alias(f"{prefix}_nationkey"),
             F.col("n_name").alias(f"{prefix}_city"),
             F.col("r_name").alias(f"{prefix}_state"),
@@ -69,23 +92,26 @@ def _by_part_type(index: int, fallback_big: str, fallback_small: str) -> Column:
 
 def raw_vaccinations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 38-column raw vaccination table, one row per line item."""
+    return memo(spark, ("raw_vaccinations", sf_dir), lambda: _raw_vaccinations(spark, sf_dir))
+
+
+def _raw_vaccinations(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = load_table(spark, sf_dir, "lineitem")
     orders = load_table(spark, sf_dir, "orders")
+    places = _nation_region(spark, sf_dir)
     customer = load_table(spark, sf_dir, "customer").join(
-        _nation_region(spark, sf_dir, "cn"), F.col("c_nationkey") == F.col("cn_nationkey")
+        _prefixed(places, "cn"), F.col("c_nationkey") == F.col("cn_nationkey")
     )
     supplier = load_table(spark, sf_dir, "supplier").join(
-        _nation_region(spark, sf_dir, "sn"), F.col("s_nationkey") == F.col("sn_nationkey")
+        _prefixed(places, "sn"), F.col("s_nationkey") == F.col("sn_nationkey")
     )
     part = load_table(spark, sf_dir, "part")
 
     # Orders meet customers first (an orders-sized shuffle on custkey), so
     # line items are shuffled on orderkey, suppkey and partkey only once each.
-    # Line items and orders both grow with the data, so their join is a
-    # sort-merge join at any size rather than a broadcast of orders.
     patients = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     joined = (
-        lineitem.join(patients.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+        lineitem.join(patients, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
     )
@@ -149,6 +175,10 @@ def raw_vaccinations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five-column population table: one city per nation, state = region."""
+    return memo(spark, ("raw_population", sf_dir), lambda: _raw_population(spark, sf_dir))
+
+
+def _raw_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = load_table(spark, sf_dir, "nation")
     region = load_table(spark, sf_dir, "region")
     nk = F.col("n_nationkey")
