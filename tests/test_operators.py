@@ -132,6 +132,19 @@ def test_quality_checks_and_report(spark):
         quality.check_scalar(df.agg(F.count(F.lit(1))), 6)
 
 
+def test_duplicate_groups_prehash_is_exact(spark, monkeypatch):
+    rows = [("a", 1), ("a", 1), ("b", 1), ("c", 2), (None, 1), (None, 1), ("c", 2), ("c", 2)]
+    df = spark.createDataFrame(rows, "k string, j int")
+    direct = sorted(map(tuple, quality.duplicate_groups(df, ["k", "j"], prehash=False).collect()), key=str)
+    hashed = sorted(map(tuple, quality.duplicate_groups(df, ["k", "j"], prehash=True).collect()), key=str)
+    assert direct == hashed == sorted([("a", 1, 2), ("c", 2, 3), (None, 1, 2)], key=str)
+    # every key colliding (a constant "hash") still gives the exact answer
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *cols: F.lit(7).cast("long"))
+    many = spark.range(50).select(F.col("id").cast("string").alias("k"))
+    dup = many.unionByName(many.where(F.col("k").isin("1", "2", "3")))
+    assert sorted(r.k for r in quality.duplicate_groups(dup, ["k"]).collect()) == ["1", "2", "3"]
+
+
 def test_distinct_through_join_counts_null_once(spark):
     fact = spark.createDataFrame([("f1",), ("f1",), ("f2",), ("f3",)], "facility_sk string")
     dim = spark.createDataFrame([("f1", "SC"), ("f2", None), ("f3", None)], "facility_sk string, st string")

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vaxmart.schemas import CONTRACT_NULLABLE, CONTRACT_TYPES
 
@@ -34,9 +35,34 @@ def _report_row(check: str, observed: DataFrame, expected: int) -> DataFrame:
     )
 
 
-def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once, with their count (HAVING count(*) > 1)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+_WIDE_TYPES = (T.StringType, T.BinaryType)
+
+
+def duplicate_groups(df: DataFrame, keys: Sequence[str], prehash: bool | None = None) -> DataFrame:
+    """Keys that occur more than once, with their count (HAVING count(*) > 1).
+
+    ``prehash`` (default: when a key is a string or binary column) first
+    groups a 64-bit hash of the keys — the shuffle then carries 8 bytes per
+    row instead of e.g. a 32-character MD5 — and re-checks only the hash
+    values seen more than once on the real keys. The result is exact: hash
+    collisions are resolved in the second step, which reads the key columns
+    again but shuffles only rows of candidate hashes (few when the keys are
+    unique, which is what the check expects).
+    """
+    if prehash is None:
+        types = {f.name: f.dataType for f in df.schema.fields}
+        prehash = any(isinstance(types[k], _WIDE_TYPES) for k in keys)
+    counted = F.count(F.lit(1)).alias("n")
+    if not prehash:
+        return df.groupBy(*keys).agg(counted).where(F.col("n") > 1)
+    hashed = df.select(*keys, F.xxhash64(*keys).alias("_h"))
+    candidates = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > 1).select("_h")
+    return (
+        hashed.join(candidates, "_h", "left_semi")
+        .groupBy(*keys)
+        .agg(counted)
+        .where(F.col("n") > 1)
+    )
 
 
 def check_unique(df: DataFrame, keys: str | Sequence[str], name: str | None = None, expected: int = 0) -> DataFrame:
