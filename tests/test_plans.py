@@ -62,6 +62,8 @@ def test_pipeline_builds_checks_and_reports(spark, workdir):
     assert len(rows) == 5 and all(r.passed for r in rows)
     wh = pipeline.Warehouse(workdir)
     assert spark.read.parquet(wh.path("fact_vaccinations")).count() == 6000
+    staged = spark.read.parquet(wh.path("staging_vaccinations"))
+    assert staged.count() == 6000 and len(staged.columns) == 43
     assert spark.read.parquet(wh.path("dim_calendar")).count() == 2289
     # the warehouse expects 6 states; the fixture has 5 -> the report fails
     with pytest.raises(quality.DataQualityError):
