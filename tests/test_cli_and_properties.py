@@ -68,3 +68,24 @@ def test_cli_build_and_analyze(spark, workdir):
               "--out", f"{workdir}/r4"])
     got = {r.category: r.unique_patients_count for r in spark.read.parquet(f"{workdir}/r4").collect()}
     assert got == {"All patients": 756, "Already took 2 doses ": 236, "Late to take 2nd dose": 178}
+
+
+def test_load_month_merges_one_partition(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from vaxmart.plans import pipeline
+    from vaxmart.schemas import RAW_VACCINATIONS
+
+    landing, raw_path = f"{workdir}/landing", f"{workdir}/raw"
+    raw = raw_vaccinations(spark, SF_SMALL)
+    land_partitioned(raw, landing)
+    months = sorted(r[0] for r in raw.select("year_month").distinct().collect())
+    for ym in months[:2]:
+        pipeline.load_month(spark, landing, raw_path, ym)
+    # re-loading a month replaces its rows (same keys): still one copy each
+    got = pipeline.load_month(spark, landing, raw_path, months[0])
+    want = raw.where(F.col("year_month").isin(months[:2]))
+    assert got.count() == want.count()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.select(*RAW_VACCINATIONS.names).collect()), key=str)
+    cli.main(["load-month", "--landing", landing, "--raw", raw_path, "--year-month", months[2]])
+    assert spark.read.parquet(raw_path).select("year_month").distinct().count() == 3

@@ -1,5 +1,7 @@
 """Command line: load landing files, build the star, run the analyses.
 
+    python -m vaxmart.cli load-month --landing <landing dir> --raw <raw table> --year-month 2021-07-01
+    python -m vaxmart.cli build --raw-table <raw table> --population <csv glob> --warehouse <dir>
     python -m vaxmart.cli build --vaccinations <landing dir> --population <csv glob> --warehouse <dir>
     python -m vaxmart.cli analyze --warehouse <dir> --analysis late_second_dose --as-of 2021-07-19 --out <dir>
     python -m vaxmart.cli ingest --landing <dir> --target <dir> --checkpoint <dir>
@@ -34,13 +36,23 @@ def _session(args):
     return spark
 
 
+def cmd_load_month(args) -> None:
+    spark = _session(args)
+    raw = pipeline.load_month(spark, args.landing, args.raw, args.year_month, max_errors=args.max_errors)
+    print(json.dumps({"raw_table": args.raw, "year_month": args.year_month}))
+    del raw
+
+
 def cmd_build(args) -> None:
     spark = _session(args)
     wh = pipeline.Warehouse(args.warehouse)
-    raw = vcsv.load_csv_to_table(
-        spark, vcsv.landing_glob(args.vaccinations), RAW_VACCINATIONS, wh.path("raw_vaccinations"),
-        max_errors=args.max_errors, budget_check=args.budget_check, partition_by=["year_month"],
-    )
+    if args.raw_table:
+        raw = spark.read.parquet(args.raw_table).select(*RAW_VACCINATIONS.names)
+    else:
+        raw = vcsv.load_csv_to_table(
+            spark, vcsv.landing_glob(args.vaccinations), RAW_VACCINATIONS, wh.path("raw_vaccinations"),
+            max_errors=args.max_errors, budget_check=args.budget_check, partition_by=["year_month"],
+        )
     pop = vcsv.load_csv_to_table(
         spark, args.population, RAW_POPULATION, wh.path("raw_population"), max_errors=0,
         budget_check=args.budget_check,
@@ -84,8 +96,17 @@ def main(argv=None) -> None:
     p.add_argument("--master", default=None, help="e.g. local[8]; default: the spark-submit master")
     sub = p.add_subparsers(dest="command", required=True)
 
-    b = sub.add_parser("build", help="load landing CSV, build staging, dimensions, fact; run checks")
-    b.add_argument("--vaccinations", required=True, help="landing root (year_month=*/estabelecimento_uf=*/)")
+    m = sub.add_parser("load-month", help="merge one month of landing files into the raw table")
+    m.add_argument("--landing", required=True, help="landing root (year_month=*/estabelecimento_uf=*/)")
+    m.add_argument("--raw", required=True, help="raw table path (partitioned by year_month)")
+    m.add_argument("--year-month", required=True, help="e.g. 2021-07-01")
+    m.add_argument("--max-errors", type=int, default=100)
+    m.set_defaults(fn=cmd_load_month)
+
+    b = sub.add_parser("build", help="load landing CSV (or use a raw table), build the star; run checks")
+    src = b.add_mutually_exclusive_group(required=True)
+    src.add_argument("--vaccinations", help="landing root: full reload of all landing files")
+    src.add_argument("--raw-table", help="an existing raw table (e.g. kept current with load-month)")
     b.add_argument("--population", required=True, help="population CSV path or glob")
     b.add_argument("--warehouse", required=True)
     b.add_argument("--max-errors", type=int, default=100)

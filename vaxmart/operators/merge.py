@@ -58,16 +58,23 @@ def write_merge(
     pk: str | Sequence[str],
     partition_col: str,
     partition_value,
+    schema=None,
 ) -> None:
     """Merge ``batch`` into the partitioned Parquet table at ``target_path``.
 
+    Pass the table's ``schema`` when it may still be empty (no data file to
+    infer it from).
+
     Rewritten partitions: the loaded one (survivors + its batch rows) and any
     other partition the batch carries (its target rows kept + the batch rows,
     since nothing is deleted outside the loaded partition). Untouched
     partitions are not read (partition filter / dynamic partition pruning)
     and not written (dynamic overwrite); the swap happens on job commit.
     """
-    target = spark.read.parquet(target_path)
+    if schema is not None:
+        target = spark.read.schema(schema).parquet(target_path).select(*schema.names)
+    else:
+        target = spark.read.parquet(target_path)
     keys = _keys(pk)
     in_partition = F.col(partition_col) == F.lit(partition_value)
     survivors = target.where(in_partition).join(batch.select(*keys).distinct(), keys, "left_anti")

@@ -26,17 +26,22 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> DataFrame:
-    """CREATE TABLE IF NOT EXISTS: write an empty table with ``schema`` when absent."""
-    if not table_exists(spark, path):
-        empty = spark.createDataFrame([], schema)
-        writer = empty.write.mode("errorifexists")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
-    return spark.read.parquet(path)
+    """CREATE TABLE IF NOT EXISTS: write an empty table with ``schema`` when
+    the path is absent (``mode("ignore")``). Returned with ``schema``, since an
+    empty partitioned table has no data file to infer it from."""
+    writer = spark.createDataFrame([], schema).write.mode("ignore")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def is_empty(spark: SparkSession, path: str) -> bool:
+def is_empty(spark: SparkSession, path: str, schema: T.StructType | None = None) -> bool:
+    if schema is not None:
+        try:
+            return spark.read.schema(schema).parquet(path).isEmpty()
+        except AnalysisException:
+            return True
     return (not table_exists(spark, path)) or spark.read.parquet(path).isEmpty()
 
 
