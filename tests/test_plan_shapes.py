@@ -93,3 +93,23 @@ def test_dimension_collapse_is_partial_then_final(spark):
     p = plan(build_vaccines(st))
     assert "partial_max" in p  # map-side combine before the shuffle
     assert len(re.findall(r"Exchange hashpartitioning\(vaccine_sk", p)) == 1
+
+
+def test_incremental_extract_pushes_the_time_window_to_the_scan(spark):
+    from vaxmart.plans.catalog import QUERIES
+
+    p = plan(QUERIES["incremental_extract"](spark, SF_SMALL))
+    assert "GreaterThanOrEqual(ts,2024-01-01T00:00)" in p
+    assert "LessThan(ts,2024-01-26T00:00)" in p
+
+
+def test_merge_reads_only_the_loaded_partition(spark, tmp_path):
+    from vaxmart.operators.merge import merge_rows
+
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a", "m1"), (2, "b", "m2")], "pk int, v string, ym string") \
+        .write.partitionBy("ym").parquet(path)
+    target = spark.read.parquet(path)
+    batch = spark.createDataFrame([(1, "z", "m1")], "pk int, v string, ym string")
+    p = plan(merge_rows(target.where(F.col("ym") == "m1"), batch, "pk"))
+    assert "PartitionFilters: [isnotnull(ym" in p and "(ym" in p and "= m1)" in p
