@@ -394,7 +394,7 @@ def stream_merge_available_now(spark, sf_dir):
     land_partitioned(raw_vaccinations(spark, sf_dir), base, mode="append")
     query = stream_merge(spark, base, target, scratch_path(spark, "stream-ckpt"), pk="document_id")
     query.awaitTermination()
-    return spark.read.parquet(target).select(*RAW_VACCINATIONS.names)
+    return spark.read.schema(RAW_VACCINATIONS).parquet(target).select(*RAW_VACCINATIONS.names)
 
 
 @register
