@@ -68,3 +68,22 @@ def test_pipeline_builds_checks_and_reports(spark, workdir):
     # the warehouse expects 6 states; the fixture has 5 -> the report fails
     with pytest.raises(quality.DataQualityError):
         quality.assert_report(pipeline.default_checks(spark, wh, expected_states=6))
+
+
+def test_pipeline_quarantines_bad_casts(spark, workdir):
+    from pyspark.sql import functions as F
+
+    raw = fixtures.raw_vaccinations(spark, SF_SMALL)
+    broken = raw.withColumn(
+        "vacina_codigo", F.when(F.col("document_id").startswith("1-"), F.lit("x")).otherwise(F.col("vacina_codigo"))
+    )
+    n_bad = raw.where(F.col("document_id").startswith("1-")).count()
+    pop = fixtures.raw_population(spark, SF_SMALL)
+    with pytest.raises(Exception):
+        pipeline.run(spark, broken, pop, f"{workdir}/strict", expected_states=5)
+    pipeline.run(spark, broken, pop, f"{workdir}/q", expected_states=5, quarantine=True)
+    wh = pipeline.Warehouse(f"{workdir}/q")
+    rejects = spark.read.parquet(wh.path("staging_rejects"))
+    assert rejects.count() == n_bad > 0
+    assert {r[0] for r in rejects.select("_reject_reason").distinct().collect()} == {"vacina_codigo"}
+    assert spark.read.parquet(wh.path("fact_vaccinations")).count() == 6000 - n_bad

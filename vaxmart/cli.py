@@ -58,7 +58,7 @@ def cmd_build(args) -> None:
         budget_check=args.budget_check,
     )
     rows = pipeline.run(spark, raw, pop, args.warehouse, expected_states=args.expected_states,
-                        raise_on_failure=not args.no_raise)
+                        raise_on_failure=not args.no_raise, quarantine=args.quarantine)
     print(json.dumps([r.asDict() for r in rows]))
 
 
@@ -113,6 +113,8 @@ def main(argv=None) -> None:
     b.add_argument("--budget-check", choices=("during", "before"), default="before")
     b.add_argument("--expected-states", type=int, default=6)
     b.add_argument("--no-raise", action="store_true", help="report failed checks without failing")
+    b.add_argument("--quarantine", action="store_true",
+                   help="write rows whose values do not cast to staging_rejects instead of failing")
     b.set_defaults(fn=cmd_build)
 
     a = sub.add_parser("analyze", help="run one analysis on a built warehouse")

@@ -37,21 +37,24 @@ def rename_and_cast(
     return raw.select(*out)
 
 
-def cast_rejects(raw: DataFrame, mapping: Sequence[tuple[str, str, str | None]] = STAGING_COLUMNS) -> DataFrame:
-    """Raw rows with at least one non-null value that does not cast.
-
-    Adds ``_reject_reason`` naming the first failing column. One filter over
-    the raw rows; no shuffle.
-    """
+def reject_reason(mapping: Sequence[tuple[str, str, str | None]] = STAGING_COLUMNS):
+    """Column naming the first raw column whose non-null value does not cast (else null)."""
     reason = None
     for src, _dst, to in mapping:
         if to is None:
             continue
         bad = F.col(src).isNotNull() & F.col(src).try_cast(to).isNull()
         reason = F.when(bad, F.lit(src)) if reason is None else reason.when(bad, F.lit(src))
-    if reason is None:
-        return raw.limit(0).withColumn(REJECT_REASON, F.lit(None).cast("string"))
-    return raw.withColumn(REJECT_REASON, reason).where(F.col(REJECT_REASON).isNotNull())
+    return reason if reason is not None else F.lit(None).cast("string")
+
+
+def cast_rejects(raw: DataFrame, mapping: Sequence[tuple[str, str, str | None]] = STAGING_COLUMNS) -> DataFrame:
+    """Raw rows with at least one non-null value that does not cast.
+
+    Adds ``_reject_reason`` naming the first failing column. One filter over
+    the raw rows; no shuffle.
+    """
+    return raw.withColumn(REJECT_REASON, reject_reason(mapping)).where(F.col(REJECT_REASON).isNotNull())
 
 
 def add_surrogate_keys(
