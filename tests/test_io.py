@@ -191,3 +191,31 @@ def test_incremental_extract_bookmark_rules(spark):
     assert ingest.parse_bookmark("SC|2021-07-18") == ("SC", dt.date(2021, 7, 18))
     assert ingest.parse_bookmark(None) is None
     assert ingest.format_bookmark("SC", dt.date(2021, 7, 18)) == "SC|2021-07-18"
+
+
+def test_extract_to_landing_daily_runs(spark, workdir):
+    from vaxmart.operators.ingest import extract_to_landing, latest_bookmarks
+
+    days = [1, 5, 10, 18, 19, 25, 31]
+    rows = [raw_row(document_id=f"{uf}{d}", estabelecimento_uf=uf, year_month="2021-07-01",
+                    vacina_dataAplicacao=f"2021-07-{d:02d}T00:00:00.000Z") for uf in ("SC", "RS") for d in days]
+    source = _raw(spark, rows)
+    landing, bm = f"{workdir}/landing", f"{workdir}/bookmarks"
+
+    def landed():
+        return sorted(r.document_id for r in vcsv.load_csv(spark, vcsv.landing_glob(landing), RAW_VACCINATIONS).collect())
+
+    assert extract_to_landing(spark, source, landing, bm, dt.date(2021, 7, 10)) == "append"
+    assert landed() == sorted(f"{uf}{d}" for uf in ("SC", "RS") for d in (1, 5, 10))
+    assert extract_to_landing(spark, source, landing, bm, dt.date(2021, 7, 19)) == "append"
+    assert landed() == sorted(f"{uf}{d}" for uf in ("SC", "RS") for d in (1, 5, 10, 18, 19))
+    marks = {r.state: r.last_date for r in latest_bookmarks(spark, bm, "2021-07-20").collect()}
+    assert marks == {"SC": dt.date(2021, 7, 19), "RS": dt.date(2021, 7, 19)}
+    # re-running the same day resumes from that day's bookmarks: nothing is landed twice
+    extract_to_landing(spark, source, landing, bm, dt.date(2021, 7, 19))
+    assert landed() == sorted(f"{uf}{d}" for uf in ("SC", "RS") for d in (1, 5, 10, 18, 19))
+    marks = {r.state: r.last_date for r in latest_bookmarks(spark, bm, "2021-07-19").collect()}
+    assert marks == {"SC": dt.date(2021, 7, 19), "RS": dt.date(2021, 7, 19)}
+    # month end: the month is extracted whole and its partitions replaced (no duplicates)
+    assert extract_to_landing(spark, source, landing, bm, dt.date(2021, 7, 31)) == "replace"
+    assert landed() == sorted(f"{uf}{d}" for uf in ("SC", "RS") for d in days)

@@ -1,5 +1,6 @@
 """Command line: load landing files, build the star, run the analyses.
 
+    python -m vaxmart.cli extract --source <table> --landing <landing dir> --bookmarks <dir> --until 2021-07-19
     python -m vaxmart.cli load-month --landing <landing dir> --raw <raw table> --year-month 2021-07-01
     python -m vaxmart.cli build --raw-table <raw table> --population <csv glob> --warehouse <dir>
     python -m vaxmart.cli build --vaccinations <landing dir> --population <csv glob> --warehouse <dir>
@@ -36,6 +37,20 @@ def _session(args):
     return spark
 
 
+def cmd_extract(args) -> None:
+    from vaxmart.operators.ingest import extract_to_landing
+
+    spark = _session(args)
+    if args.source_format == "csv":
+        source = vcsv.load_csv(spark, args.source, RAW_VACCINATIONS, max_errors=args.max_errors)
+    else:
+        source = spark.read.parquet(args.source).select(*RAW_VACCINATIONS.names)
+    states = args.states.split(",") if args.states else None
+    mode = extract_to_landing(spark, source, args.landing, args.bookmarks, dt.date.fromisoformat(args.until),
+                              states=states)
+    print(json.dumps({"until": args.until, "mode": mode}))
+
+
 def cmd_load_month(args) -> None:
     spark = _session(args)
     raw = pipeline.load_month(spark, args.landing, args.raw, args.year_month, max_errors=args.max_errors)
@@ -96,6 +111,16 @@ def main(argv=None) -> None:
     p.add_argument("--master", default=None, help="e.g. local[8]; default: the spark-submit master")
     sub = p.add_subparsers(dest="command", required=True)
 
+    e = sub.add_parser("extract", help="daily run: rows after each state's bookmark -> landing files -> bookmarks")
+    e.add_argument("--source", required=True, help="source table path (raw vaccination columns)")
+    e.add_argument("--source-format", choices=("parquet", "csv"), default="parquet")
+    e.add_argument("--landing", required=True)
+    e.add_argument("--bookmarks", required=True, help="bookmark table path")
+    e.add_argument("--until", required=True, help="run date; the month's last day reloads the month")
+    e.add_argument("--states", default=None, help="comma separated, e.g. AC,MA,PE,PR,RS,SC")
+    e.add_argument("--max-errors", type=int, default=100)
+    e.set_defaults(fn=cmd_extract)
+
     m = sub.add_parser("load-month", help="merge one month of landing files into the raw table")
     m.add_argument("--landing", required=True, help="landing root (year_month=*/estabelecimento_uf=*/)")
     m.add_argument("--raw", required=True, help="raw table path (partitioned by year_month)")

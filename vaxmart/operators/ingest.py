@@ -14,11 +14,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vaxmart.functions.temporal import load_mode, load_mode_for  # noqa: F401  (re-exported)
 
 BOOKMARK_STATE = "state"
 BOOKMARK_DATE = "last_date"
+BOOKMARK_SCHEMA = T.StructType(
+    [
+        T.StructField(BOOKMARK_STATE, T.StringType(), True),
+        T.StructField(BOOKMARK_DATE, T.DateType(), True),
+        T.StructField("run_until", T.StringType(), True),
+    ]
+)
 
 
 def _date(c: str | Column) -> Column:
@@ -81,3 +89,60 @@ def parse_bookmark(text: str | None) -> tuple[str, dt.date | None] | None:
 
 def format_bookmark(state: str, day: dt.date | None) -> str:
     return f"{state}|{day.isoformat() if day else ''}"
+
+
+# --- the daily extract job: source -> landing files -> bookmarks ---------------
+
+BOOKMARK_RUN = "run_until"
+
+
+def latest_bookmarks(spark, bookmark_path: str, until: dt.date | str) -> DataFrame:
+    """Bookmarks of the latest run on or before ``until`` (no rows if none).
+
+    A run repeated for the same day therefore resumes from that day's
+    bookmarks and extracts nothing twice.
+
+    The bookmark table is partitioned by run date; the latest run is picked
+    with a scalar subquery, so nothing is collected to the driver.
+    """
+    from vaxmart.sources.tables import ensure_table
+
+    table = ensure_table(spark, bookmark_path, BOOKMARK_SCHEMA, partition_by=[BOOKMARK_RUN])
+    earlier = table.where(F.col(BOOKMARK_RUN) <= F.lit(str(until)))
+    latest = earlier.select(F.max(BOOKMARK_RUN)).scalar()
+    return earlier.where(F.col(BOOKMARK_RUN) == latest).select(BOOKMARK_STATE, BOOKMARK_DATE)
+
+
+def extract_to_landing(
+    spark,
+    source: DataFrame,
+    landing_base: str,
+    bookmark_path: str,
+    until: dt.date,
+    states: Sequence[str] | None = None,
+    state_col: str = "estabelecimento_uf",
+    date_col: str = "vacina_dataAplicacao",
+    inclusive: bool = False,
+) -> str:
+    """One daily extraction run for all states; returns the load mode used.
+
+    On the last day of a month the whole month is extracted again and its
+    landing partitions are replaced (bookmarks ignored); otherwise the rows
+    after each state's bookmark are appended. The new bookmarks are written
+    only after the landing write has committed, so a failed run leaves the
+    previous bookmarks (and, in replace mode, the previous files) in place.
+    """
+    from vaxmart.sources.tables import land_partitioned
+
+    mode = load_mode_for(until)
+    previous = None if mode == "replace" else latest_bookmarks(spark, bookmark_path, until)
+    rows = incremental_extract(source, until, previous, state_col, date_col, states, inclusive)
+    land_partitioned(rows, landing_base, mode=mode)
+    nxt = next_bookmarks(rows, previous, state_col, date_col).withColumn(BOOKMARK_RUN, F.lit(str(until)))
+    (
+        nxt.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(BOOKMARK_RUN)
+        .parquet(bookmark_path)
+    )
+    return mode
