@@ -502,3 +502,6 @@ ORACLE["stg_normalized_type"] = with_star(
     "FROM staging")
 ORACLE["load_if_empty"] = with_star("SELECT * FROM raw_population")
 ORACLE["csv_reject_budget"] = with_star("SELECT * FROM raw_population")
+ORACLE["daily_extract_to_landing"] = with_star(
+    "SELECT * FROM raw_vaccinations "
+    "WHERE CAST(substring(vacina_dataAplicacao, 1, 10) AS DATE) BETWEEN DATE '1998-06-01' AND DATE '1998-06-15'")

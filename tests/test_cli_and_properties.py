@@ -89,3 +89,20 @@ def test_load_month_merges_one_partition(spark, workdir):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.select(*RAW_VACCINATIONS.names).collect()), key=str)
     cli.main(["load-month", "--landing", landing, "--raw", raw_path, "--year-month", months[2]])
     assert spark.read.parquet(raw_path).select("year_month").distinct().count() == 3
+
+
+def test_cli_extract_lands_the_month_up_to_the_run_date(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from vaxmart.schemas import RAW_VACCINATIONS
+    from vaxmart.sources import csv as vcsv
+
+    src = f"{workdir}/source"
+    raw = raw_vaccinations(spark, SF_SMALL)
+    raw.write.parquet(src)
+    landing, bm = f"{workdir}/landing", f"{workdir}/bm"
+    cli.main(["extract", "--source", src, "--landing", landing, "--bookmarks", bm, "--until", "1998-06-15"])
+    day = F.col("vacina_dataAplicacao").cast("date")
+    want = raw.where((day >= F.lit("1998-06-01").cast("date")) & (day <= F.lit("1998-06-15").cast("date")))
+    got = vcsv.load_csv(spark, vcsv.landing_glob(landing), RAW_VACCINATIONS)
+    assert sorted(r.document_id for r in got.collect()) == sorted(r.document_id for r in want.collect())

@@ -136,13 +136,18 @@ def extract_to_landing(
 
     mode = load_mode_for(until)
     previous = None if mode == "replace" else latest_bookmarks(spark, bookmark_path, until)
-    rows = incremental_extract(source, until, previous, state_col, date_col, states, inclusive)
-    land_partitioned(rows, landing_base, mode=mode)
-    nxt = next_bookmarks(rows, previous, state_col, date_col).withColumn(BOOKMARK_RUN, F.lit(str(until)))
-    (
-        nxt.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BOOKMARK_RUN)
-        .parquet(bookmark_path)
-    )
+    # The run's rows (a day, or a month on replace) feed two writes; persist
+    # them so the source is read once (a lost executor recomputes its part).
+    rows = incremental_extract(source, until, previous, state_col, date_col, states, inclusive).persist()
+    try:
+        land_partitioned(rows, landing_base, mode=mode)
+        nxt = next_bookmarks(rows, previous, state_col, date_col).withColumn(BOOKMARK_RUN, F.lit(str(until)))
+        (
+            nxt.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BOOKMARK_RUN)
+            .parquet(bookmark_path)
+        )
+    finally:
+        rows.unpersist()
     return mode

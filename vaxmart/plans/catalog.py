@@ -428,3 +428,21 @@ def csv_reject_budget(spark, sf_dir):
         spark, f"{base}/*/*.csv", RAW_POPULATION, scratch_path(spark, "raw_population"),
         max_errors=VACCINATION_MAX_ERRORS,
     )
+
+
+# --- fixed value: run date of the daily-extraction scenario -------------------
+DAILY_RUN_UNTIL = dt.date(1998, 6, 15)
+
+
+@register
+def daily_extract_to_landing(spark, sf_dir):
+    """The daily extract job over the raw table as source: the month of the run
+    date up to that date is landed (no bookmarks yet), then read back."""
+    landing = scratch_path(spark, "landing")
+    ingest.extract_to_landing(
+        spark, raw_vaccinations(spark, sf_dir), landing, scratch_path(spark, "bookmarks"), DAILY_RUN_UNTIL
+    )
+    return _csv.load_csv_to_table(
+        spark, _csv.landing_glob(landing), RAW_VACCINATIONS, scratch_path(spark, "raw_vaccinations"),
+        max_errors=VACCINATION_MAX_ERRORS,
+    )
