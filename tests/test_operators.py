@@ -160,3 +160,11 @@ def test_contract_report_flags_nulls_missing_and_extra(spark):
     assert not rep["version"].present and not rep["version"].passed
     assert rep["extra"].declared_type is None and not rep["extra"].passed
     assert rep["document_id"].passed
+
+
+def test_conform_to_contract(spark):
+    raw = spark.createDataFrame([raw_row()], RAW_VACCINATIONS).withColumn("extra", F.lit(1))
+    shuffled = raw.select("extra", *reversed(RAW_VACCINATIONS.names))
+    assert quality.conform_to_contract(shuffled).columns == RAW_VACCINATIONS.names
+    with pytest.raises(quality.DataQualityError):
+        quality.conform_to_contract(raw.drop("version"))

@@ -177,3 +177,12 @@ def contract_report(
         & (F.col("declared_nullable") | (F.col("null_count") == 0))
     )
     return rows.withColumn("passed", F.coalesce(passed, F.lit(False)))
+
+
+def conform_to_contract(df: DataFrame, contract_types: dict[str, str] = CONTRACT_TYPES) -> DataFrame:
+    """Select the contract's columns in contract order (extra columns dropped);
+    raise if a contract column is missing. A projection: no data is read."""
+    missing = [c for c in contract_types if c not in df.columns]
+    if missing:
+        raise DataQualityError(f"missing contract columns: {', '.join(missing)}")
+    return df.select(*contract_types)
