@@ -64,8 +64,10 @@ def test_cli_build_and_analyze(spark, workdir):
     cli.main(["build", "--vaccinations", landing, "--population", f"{workdir}/population/*.csv",
               "--warehouse", wh, "--expected-states", "5"])
     assert spark.read.parquet(f"{wh}/fact_vaccinations").count() == 6000
-    cli.main(["analyze", "--warehouse", wh, "--analysis", "late_second_dose", "--as-of", "2001-11-05",
-              "--out", f"{workdir}/r4"])
+    cli.main(["build", "--raw-table", f"{wh}/raw_vaccinations", "--population", f"{workdir}/population/*.csv",
+              "--warehouse", f"{workdir}/pub", "--expected-states", "5", "--run-id", "day1"])
+    cli.main(["analyze", "--warehouse", f"{workdir}/pub", "--published", "--analysis", "late_second_dose",
+              "--as-of", "2001-11-05", "--out", f"{workdir}/r4"])
     got = {r.category: r.unique_patients_count for r in spark.read.parquet(f"{workdir}/r4").collect()}
     assert got == {"All patients": 756, "Already took 2 doses ": 236, "Late to take 2nd dose": 178}
 

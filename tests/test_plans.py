@@ -87,3 +87,15 @@ def test_pipeline_quarantines_bad_casts(spark, workdir):
     assert rejects.count() == n_bad > 0
     assert {r[0] for r in rejects.select("_reject_reason").distinct().collect()} == {"vacina_codigo"}
     assert spark.read.parquet(wh.path("fact_vaccinations")).count() == 6000 - n_bad
+
+
+def test_publish_only_after_checks(spark, workdir):
+    raw = fixtures.raw_vaccinations(spark, SF_SMALL)
+    pop = fixtures.raw_population(spark, SF_SMALL)
+    pipeline.run_and_publish(spark, raw, pop, workdir, "r1", expected_states=5)
+    first = pipeline.current_warehouse(spark, workdir)
+    assert first.root.endswith("runs/r1")
+    assert spark.read.parquet(first.path("fact_vaccinations")).count() == 6000
+    with pytest.raises(quality.DataQualityError):  # the fixture has 5 states, not 6
+        pipeline.run_and_publish(spark, raw, pop, workdir, "r2", expected_states=6)
+    assert pipeline.current_warehouse(spark, workdir).root == first.root

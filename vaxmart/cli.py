@@ -72,14 +72,18 @@ def cmd_build(args) -> None:
         spark, args.population, RAW_POPULATION, wh.path("raw_population"), max_errors=0,
         budget_check=args.budget_check,
     )
-    rows = pipeline.run(spark, raw, pop, args.warehouse, expected_states=args.expected_states,
-                        raise_on_failure=not args.no_raise, quarantine=args.quarantine)
+    if args.run_id:
+        rows = pipeline.run_and_publish(spark, raw, pop, args.warehouse, args.run_id,
+                                        expected_states=args.expected_states, quarantine=args.quarantine)
+    else:
+        rows = pipeline.run(spark, raw, pop, args.warehouse, expected_states=args.expected_states,
+                            raise_on_failure=not args.no_raise, quarantine=args.quarantine)
     print(json.dumps([r.asDict() for r in rows]))
 
 
 def cmd_analyze(args) -> None:
     spark = _session(args)
-    wh = pipeline.Warehouse(args.warehouse)
+    wh = pipeline.current_warehouse(spark, args.warehouse) if args.published else pipeline.Warehouse(args.warehouse)
     t = {n: spark.read.parquet(wh.path(n)) for n in
          ("fact_vaccinations", "dim_calendar", "dim_facilities", "dim_cities", "dim_vaccines")}
     fact, cal, fac, cit, vac = (t[n] for n in
@@ -138,6 +142,8 @@ def main(argv=None) -> None:
     b.add_argument("--budget-check", choices=("during", "before"), default="before")
     b.add_argument("--expected-states", type=int, default=6)
     b.add_argument("--no-raise", action="store_true", help="report failed checks without failing")
+    b.add_argument("--run-id", default=None,
+                   help="build into <warehouse>/runs/<id> and publish it only if every check passes")
     b.add_argument("--quarantine", action="store_true",
                    help="write rows whose values do not cast to staging_rejects instead of failing")
     b.set_defaults(fn=cmd_build)
@@ -145,6 +151,7 @@ def main(argv=None) -> None:
     a = sub.add_parser("analyze", help="run one analysis on a built warehouse")
     a.add_argument("--warehouse", required=True)
     a.add_argument("--analysis", choices=ANALYSES, required=True)
+    a.add_argument("--published", action="store_true", help="use the latest published run under --warehouse")
     a.add_argument("--as-of", default=None, help="'today' of late_second_dose (default: current date)")
     a.add_argument("--vaccine-type", default="Coronavac")
     a.add_argument("--window-rows", type=int, default=30)
