@@ -22,9 +22,11 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    got = queries()[name](spark, SF_SMALL).toPandas()
-    want = con.execute(oracle_sql()[name]).df()
-    assert sorted(got.columns) == sorted(want.columns)
+    got_arrow = queries()[name](spark, SF_SMALL).toArrow()
+    want_arrow = con.sql(oracle_sql()[name]).to_arrow_table()
+    assert {f.name: str(f.type) for f in got_arrow.schema} == {f.name: str(f.type) for f in want_arrow.schema}
+    got = got_arrow.to_pandas(date_as_object=True)
+    want = want_arrow.to_pandas(date_as_object=True)
     assert len(got) == len(want)
     assert normalise(got) == normalise(want)
 
