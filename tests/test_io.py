@@ -219,3 +219,24 @@ def test_extract_to_landing_daily_runs(spark, workdir):
     # month end: the month is extracted whole and its partitions replaced (no duplicates)
     assert extract_to_landing(spark, source, landing, bm, dt.date(2021, 7, 31)) == "replace"
     assert landed() == sorted(f"{uf}{d}" for uf in ("SC", "RS") for d in days)
+
+
+def test_write_replace_keeps_untouched_partitions(spark, workdir):
+    path = f"{workdir}/t"
+    _orders(spark, [(1, "a", "m1"), (2, "b", "m2"), (3, "c", "m3")]).write.partitionBy("ym").parquet(path)
+    merge.write_replace(_orders(spark, [(9, "z", "m2"), (8, "y", "m4")]), path, "ym")
+    got = sorted(tuple(r) for r in spark.read.parquet(path).select("pk", "v", "ym").collect())
+    assert got == [(1, "a", "m1"), (3, "c", "m3"), (8, "y", "m4"), (9, "z", "m2")]
+
+
+def test_load_to_partitioned_table_and_file_size_cap(spark, workdir):
+    base = f"{workdir}/landing"
+    rows = [raw_row(document_id=f"d{i}", year_month="2021-07-01" if i % 2 else "2021-08-01") for i in range(20)]
+    land_partitioned(_raw(spark, rows), base, max_records_per_file=3)
+    files = [f for _, _, fs in os.walk(base) for f in fs if f.endswith(".csv.gz")]
+    assert len(files) >= 8  # 10 rows per month directory, at most 3 per file
+    table = vcsv.load_csv_to_table(spark, vcsv.landing_glob(base), RAW_VACCINATIONS, f"{workdir}/raw",
+                                   partition_by=["year_month"])
+    assert table.count() == 20
+    dirs = sorted(d for d in os.listdir(f"{workdir}/raw") if d.startswith("year_month="))
+    assert dirs == ["year_month=2021-07-01", "year_month=2021-08-01"]
