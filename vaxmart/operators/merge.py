@@ -67,9 +67,11 @@ def write_merge(
 
     Rewritten partitions: the loaded one (survivors + its batch rows) and any
     other partition the batch carries (its target rows kept + the batch rows,
-    since nothing is deleted outside the loaded partition). Untouched
-    partitions are not read (partition filter / dynamic partition pruning)
-    and not written (dynamic overwrite); the swap happens on job commit.
+    since nothing is deleted outside the loaded partition). The loaded
+    partition is read through a static partition filter; for the carried
+    ones the (broadcast) partition values let dynamic partition pruning skip
+    the rest when Spark estimates it pays. Untouched partitions are not
+    written (dynamic overwrite); the swap happens on job commit.
     """
     if schema is not None:
         target = spark.read.schema(schema).parquet(target_path).select(*schema.names)
@@ -78,7 +80,9 @@ def write_merge(
     keys = _keys(pk)
     in_partition = F.col(partition_col) == F.lit(partition_value)
     survivors = target.where(in_partition).join(batch.select(*keys).distinct(), keys, "left_anti")
-    other_parts = batch.where(~in_partition).select(partition_col).distinct()
+    # One row per partition value the batch carries (months: a calendar-bounded
+    # set), broadcast so dynamic partition pruning can skip the others.
+    other_parts = F.broadcast(batch.where(~in_partition).select(partition_col).distinct())
     carried = target.where(~in_partition).join(other_parts, partition_col, "left_semi")
     rows = survivors.unionByName(carried).unionByName(batch.select(*target.columns))
     # Dynamic overwrite cannot empty a partition. If the batch has no row of
