@@ -99,3 +99,12 @@ def test_publish_only_after_checks(spark, workdir):
     with pytest.raises(quality.DataQualityError):  # the fixture has 5 states, not 6
         pipeline.run_and_publish(spark, raw, pop, workdir, "r2", expected_states=6)
     assert pipeline.current_warehouse(spark, workdir).root == first.root
+
+
+def test_negative_check_lineitem_key_is_not_unique(spark):
+    from vaxmart.plans.catalog import QUERIES
+
+    row = QUERIES["dq_unique_lineitem_fails"](spark, SF_SMALL).first()
+    assert (row.observed, row.expected, row.passed) == (1161, 0, False)
+    with pytest.raises(quality.DataQualityError):
+        quality.assert_report(QUERIES["dq_unique_lineitem_fails"](spark, SF_SMALL))
