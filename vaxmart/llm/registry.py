@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaxmart.llm import ctph, language_id, near_dup, url_filter
+from vaxmart.llm import ctph, language_id, near_dup, suffix_dedup, url_filter
 from vaxmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op3_near_duplicates(spark, sf_dir):
 ORACLE["op3_near_duplicates"] = near_dup.ORACLE
 
 
+@register
+def op4_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
 @register
 def op6_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.RULES).drop("n_tried")
