@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaxmart.llm import ctph, language_id, near_dup, suffix_dedup, url_filter
+from vaxmart.llm import ctph, decontaminate, language_id, near_dup, suffix_dedup, url_filter
 from vaxmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,14 @@ def op1_language_id(spark, sf_dir):
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
 
 
+@register
+def op2_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
+
+
+ORACLE["op2_decontaminate"] = decontaminate.ORACLE
+
+
 @register
 def op3_near_duplicates(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
