@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaxmart.llm import language_id
+from vaxmart.llm import decontaminate, language_id, near_dup, sentencepiece, suffix_dedup
 from vaxmart.llm.common import cut, table
 
 
@@ -15,7 +15,37 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return found.where(F.col("accepted")).select(*docs.columns)
 
 
-STAGES = [("language_id", keep_known_language)]
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each near-duplicate group.  Rows that share an id share its fate; a row
+    without an id goes only if a row with one has the same set of shingles."""
+    verdict = near_dup.near_duplicates(docs)
+    gone = verdict.where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+
+
+def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the byte strings that occur elsewhere too; ``n_chars`` follows the text."""
+    done = suffix_dedup.dedup_texts(docs)
+    return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def keep_clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+
+
+def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each text that is left, with the checks of the round trip."""
+    return sentencepiece.encode(docs)
+
+
+STAGES = [
+    ("language_id", keep_known_language),
+    ("near_dup", keep_one_of_each_group),
+    ("suffix_dedup", cut_repeated_strings),
+    ("decontaminate", keep_clean_of_benchmark),
+    ("sentencepiece", encode_texts),
+]
+#: Compression, suffix arrays and tokenization have no SQL form.
 ORACLE_SQL = None
 
 

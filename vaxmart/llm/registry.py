@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaxmart.llm import ctph, decontaminate, language_id, near_dup, suffix_dedup, url_filter
+from vaxmart.llm import (
+    chunk_dedup,
+    ctph,
+    decontaminate,
+    language_id,
+    license_scan,
+    lm_score,
+    near_dup,
+    sentencepiece,
+    suffix_dedup,
+    url_filter,
+)
 from vaxmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +58,11 @@ def op4_suffix_dedup(spark, sf_dir):
     return suffix_dedup.dedup_report(table(spark, sf_dir, "documents"))
 
 
+@register
+def op5_sentencepiece(spark, sf_dir):
+    return sentencepiece.encode(table(spark, sf_dir, "documents")).drop("token_ids")
+
+
 @register
 def op6_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.RULES).drop("n_tried")
@@ -55,6 +71,24 @@ def op6_url_filter(spark, sf_dir):
 ORACLE["op6_url_filter"] = url_filter.ORACLE
 
 
+@register
+def op7_license_scan(spark, sf_dir):
+    """Documents as files: the source is the top directory, the language one below."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return license_scan.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
+@register
+def op8_lm_score(spark, sf_dir):
+    return lm_score.score_documents(table(spark, sf_dir, "documents"))
+
+
+@register
+def op9_chunk_dedup(spark, sf_dir):
+    return chunk_dedup.dedup_chunks(table(spark, sf_dir, "documents"))
+
+
 @register
 def op10_fingerprints(spark, sf_dir):
     return ctph.fingerprints(table(spark, sf_dir, "documents"))
