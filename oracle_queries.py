@@ -245,84 +245,84 @@ ORACLE["dim_vaccines"] = with_star("SELECT * FROM dim_vaccines")
 ORACLE["dim_cities"] = with_star("SELECT * FROM dim_cities")
 ORACLE["dim_calendar"] = with_star("SELECT * FROM dim_calendar")
 
+# R1 and R2 start from doses by state and day; output names are fixed values.
+_STATE_DAYS = """
+tally AS (SELECT facility_sk, vaccination_date, sum(vaccinations_count) AS doses FROM fact GROUP BY ALL),
+state_day AS (
+  SELECT d.facility_state_abbrev AS state, t.vaccination_date, sum(t.doses) AS doses
+  FROM tally t JOIN dim_facilities d USING (facility_sk)
+  WHERE t.vaccination_date IN (SELECT full_date FROM dim_calendar)
+    AND d.facility_state_abbrev IN (SELECT state FROM state_populations)
+  GROUP BY ALL
+)"""
+
+# Every day joined to the state's days up to it.
 ORACLE["cumulative_per_capita"] = with_star(
     """
-SELECT *, cumulative_daily_vaccinations / state_population AS cumulative_daily_vaccinations_per_capta
-FROM (
-  SELECT *, CAST(sum(daily_vaccinations) OVER (PARTITION BY state ORDER BY vaccination_date
-              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cumulative_daily_vaccinations
-  FROM daily_vaccinations
-)""",
-    """
-daily_vaccinations AS (
-  SELECT dca.full_date AS vaccination_date, dfa.facility_state_abbrev AS state,
-         max(pop.state_population) AS state_population,
-         CAST(sum(fva.vaccinations_count) AS BIGINT) AS daily_vaccinations
-  FROM fact fva
-  JOIN dim_calendar dca ON fva.vaccination_date = dca.full_date
-  JOIN dim_facilities dfa ON fva.facility_sk = dfa.facility_sk
-  JOIN state_populations pop ON dfa.facility_state_abbrev = pop.state
-  GROUP BY 1, 2
-)""",
+SELECT today.vaccination_date, today.state, people.state_population, CAST(today.doses AS BIGINT) AS daily_vaccinations,
+       CAST(sum(past.doses) AS DOUBLE) AS cumulative_daily_vaccinations,
+       CAST(sum(past.doses) AS DOUBLE) / people.state_population AS cumulative_daily_vaccinations_per_capta
+FROM state_day today
+JOIN state_day past ON past.state = today.state AND past.vaccination_date <= today.vaccination_date
+JOIN state_populations people ON people.state = today.state
+GROUP BY today.vaccination_date, today.state, people.state_population, today.doses""",
+    _STATE_DAYS,
 )
 
+# Days numbered by state; each meets itself and the 29 before.
 ORACLE["daily_per_capita_moving_avg"] = with_star(
     """
-SELECT *, round(avg(vaccinations_per_capta) OVER (PARTITION BY state ORDER BY vaccination_date
-          ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 10) AS rolling_avg_30_days
-FROM daily_per_capta""",
+SELECT x.vaccination_date, x.state, x.rate AS vaccinations_per_capta, round(avg(y.rate), 10) AS rolling_avg_30_days
+FROM numbered x JOIN numbered y ON y.state = x.state AND y.nth BETWEEN x.nth - 29 AND x.nth
+GROUP BY x.vaccination_date, x.state, x.rate""",
+    _STATE_DAYS,
     """
-daily_per_capta AS (
-  SELECT dca.full_date AS vaccination_date, dfa.facility_state_abbrev AS state,
-         CAST(sum(fva.vaccinations_count) AS DOUBLE) / max(pop.state_population) AS vaccinations_per_capta
-  FROM fact fva
-  JOIN dim_calendar dca ON fva.vaccination_date = dca.full_date
-  JOIN dim_facilities dfa ON fva.facility_sk = dfa.facility_sk
-  JOIN state_populations pop ON dfa.facility_state_abbrev = pop.state
-  GROUP BY 1, 2
+numbered AS (
+  SELECT vaccination_date, state, CAST(doses AS DOUBLE) / state_population AS rate,
+         rank() OVER (PARTITION BY state ORDER BY vaccination_date) AS nth
+  FROM state_day JOIN state_populations USING (state)
 )""",
 )
 
 ORACLE["weekly_by_type"] = with_star(
     f"""
-SELECT CAST(date_trunc('week', dca.full_date) AS DATE) AS period,
-       {NORMALIZE_SQL.format(c='dva.vaccine_type_name')} AS vaccine_type,
-       CAST(sum(fva.vaccinations_count) AS BIGINT) AS total_vaccinations
-FROM fact fva
-JOIN dim_calendar dca ON fva.vaccination_date = dca.full_date
-JOIN dim_vaccines dva ON fva.vaccine_sk = dva.vaccine_sk
-WHERE dva.vaccine_type_name != 'Pendente Identificação'
-GROUP BY 1, 2"""
+SELECT period, label AS vaccine_type, CAST(sum(doses) AS BIGINT) AS total_vaccinations
+FROM week_counts JOIN labels USING (vaccine_sk)
+GROUP BY period, label""",
+    """
+week_counts AS (
+  SELECT vaccine_sk, CAST(date_trunc('week', vaccination_date) AS DATE) AS period, sum(vaccinations_count) AS doses
+  FROM fact WHERE vaccination_date IN (SELECT full_date FROM dim_calendar) GROUP BY ALL
+)""",
+    f"""
+labels AS (
+  SELECT vaccine_sk, {NORMALIZE_SQL.format(c='vaccine_type_name')} AS label
+  FROM dim_vaccines WHERE vaccine_type_name <> 'Pendente Identificação'
+)""",
 )
 
+# One row a patient answers all three questions; the labels are fixed values.
 ORACLE["late_second_dose"] = with_star(
-    f"""
+    """
 SELECT category, unique_patients_count,
-       round(100 * (CAST(unique_patients_count AS DOUBLE) / max(unique_patients_count) OVER ()), 2) AS pct_of_total
+       round(100 * (CAST(unique_patients_count AS DOUBLE) / greatest(everyone, twice, late)), 2) AS pct_of_total
 FROM (
-  SELECT 'All patients' AS category, count(DISTINCT patient_sk) AS unique_patients_count FROM coronavac_rows
-  UNION ALL
-  SELECT 'Already took 2 doses ', count(DISTINCT patient_sk) FROM two_doses
-  UNION ALL
-  SELECT 'Late to take 2nd dose', count(DISTINCT patient_sk) FROM late_rows
-) u
-ORDER BY 1""",
+  SELECT *, unnest(['All patients', 'Already took 2 doses ', 'Late to take 2nd dose']) AS category,
+         unnest([everyone, twice, late]) AS unique_patients_count
+  FROM totals
+)
+ORDER BY category""",
     f"""
-coronavac_rows AS (
-  SELECT fva.*, {weeks_between_sql('fva.vaccination_date', AS_OF)} AS weeks_since_vaccination,
-         dva.vaccination_dose_description
-  FROM fact fva JOIN dim_vaccines dva ON fva.vaccine_sk = dva.vaccine_sk
-  WHERE {NORMALIZE_SQL.format(c='dva.vaccine_type_name')} = 'Coronavac'
+patient AS (
+  SELECT f.patient_sk, count(*) AS n,
+         bool_or(v.vaccination_dose_description = '1ª Dose' AND {weeks_between_sql('f.vaccination_date', AS_OF)} >= 5) AS overdue
+  FROM fact f JOIN dim_vaccines v USING (vaccine_sk)
+  WHERE {NORMALIZE_SQL.format(c='v.vaccine_type_name')} = 'Coronavac'
+  GROUP BY f.patient_sk
 )""",
     """
-two_doses AS (
-  SELECT patient_sk FROM coronavac_rows GROUP BY 1 HAVING count(*) > 1
-)""",
-    """
-late_rows AS (
-  SELECT * FROM coronavac_rows
-  WHERE weeks_since_vaccination >= 5 AND vaccination_dose_description = '1ª Dose'
-    AND patient_sk NOT IN (SELECT patient_sk FROM two_doses)
+totals AS (
+  SELECT count(*) AS everyone, count(*) FILTER (n > 1) AS twice, count(*) FILTER (n = 1 AND overdue) AS late FROM patient
 )""",
 )
 
@@ -400,22 +400,23 @@ def _dq(check: str, count_sql: str, expected: int) -> str:
             f"FROM (SELECT ({count_sql}) AS observed)")
 
 
+def _repeated(table: str, *key: str) -> str:
+    return (f"SELECT count(*) FILTER (n > 1) FROM (SELECT count(*) AS n FROM {table} GROUP BY {', '.join(key)})")
+
+
+def _null_key(table: str, key: str) -> str:
+    return f"SELECT CAST(count(*) > count({key}) AS BIGINT) FROM {table}"
+
+
 _DQ_SQL = {
-    "dq_unique_fact": _dq("fact_unique_vaccination_sk",
-                          "SELECT count(*) FROM (SELECT vaccination_sk, count(*) FROM fact GROUP BY 1 "
-                          "HAVING count(*) > 1)", 0),
-    "dq_unique_patient": _dq("dim_patients_unique_patient_sk",
-                             "SELECT count(*) FROM (SELECT patient_sk, count(*) FROM dim_patients GROUP BY 1 "
-                             "HAVING count(*) > 1)", 0),
-    "dq_not_null_fact": _dq("fact_not_null_vaccination_sk",
-                            "SELECT count(*) FROM (SELECT vaccination_sk, count(*) FROM fact GROUP BY 1 "
-                            "HAVING vaccination_sk IS NULL)", 0),
-    "dq_not_null_patient": _dq("dim_patients_not_null_patient_sk",
-                               "SELECT count(*) FROM (SELECT patient_sk, count(*) FROM dim_patients GROUP BY 1 "
-                               "HAVING patient_sk IS NULL)", 0),
-    "dq_distinct_states": _dq("fact_distinct_states_count",
-                              "SELECT count(*) FROM (SELECT DISTINCT dfa.facility_state_abbrev FROM fact fva "
-                              "JOIN dim_facilities dfa ON fva.facility_sk = dfa.facility_sk)", 6),
+    "dq_unique_fact": _dq("fact_unique_vaccination_sk", _repeated("fact", "vaccination_sk"), 0),
+    "dq_unique_patient": _dq("dim_patients_unique_patient_sk", _repeated("dim_patients", "patient_sk"), 0),
+    "dq_not_null_fact": _dq("fact_not_null_vaccination_sk", _null_key("fact", "vaccination_sk"), 0),
+    "dq_not_null_patient": _dq("dim_patients_not_null_patient_sk", _null_key("dim_patients", "patient_sk"), 0),
+    "dq_distinct_states": _dq(
+        "fact_distinct_states_count",
+        "SELECT count(DISTINCT facility_state_abbrev) + CAST(count(*) > count(facility_state_abbrev) AS BIGINT) "
+        "FROM dim_facilities WHERE facility_sk IN (SELECT facility_sk FROM fact)", 6),
 }
 for _name, _sql in _DQ_SQL.items():
     ORACLE[_name] = with_star(_sql)
@@ -424,23 +425,39 @@ ORACLE["dq_report"] = with_star("\nUNION ALL\n".join(f"({s})" for s in _DQ_SQL.v
 
 ORACLE["dq_unique_lineitem_fails"] = _dq(
     "lineitem_unique_key",
-    "SELECT count(*) FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)", 0)
+    _repeated("lineitem", "l_orderkey", "l_linenumber"), 0)
 
 ORACLE["dq_no_blank_key"] = with_star(_dq(
     "fact_no_blank_patient_sk",
     "SELECT count(*) FROM fact WHERE patient_sk = 'd41d8cd98f00b204e9800998ecf8427e'", 0))
 
 
-def _contract_sql() -> str:
-    from vaxmart.schemas import CONTRACT_NULLABLE, CONTRACT_TYPES
+# The contract's columns in order, the only one that is no text, and those that may be null.
+_CONTRACT = """
+document_id paciente_id paciente_idade paciente_dataNascimento paciente_enumSexoBiologico paciente_racaCor_codigo
+paciente_racaCor_valor paciente_endereco_coIbgeMunicipio paciente_endereco_coPais paciente_endereco_nmMunicipio
+paciente_endereco_nmPais paciente_endereco_uf paciente_endereco_cep paciente_nacionalidade_enumNacionalidade
+estabelecimento_valor estabelecimento_razaoSocial estalecimento_noFantasia estabelecimento_municipio_codigo
+estabelecimento_municipio_nome estabelecimento_uf vacina_grupoAtendimento_codigo vacina_grupoAtendimento_nome
+vacina_categoria_codigo vacina_categoria_nome vacina_lote vacina_fabricante_nome vacina_fabricante_referencia
+vacina_dataAplicacao vacina_descricao_dose vacina_codigo vacina_nome sistema_origem id_sistema_origem
+data_importacao_rnds redshift timestamp version year_month
+""".split()
+_CONTRACT_INTEGER = "paciente_idade"
+_CONTRACT_NULLABLE = """
+paciente_nacionalidade_enumNacionalidade vacina_grupoAtendimento_nome vacina_categoria_codigo vacina_categoria_nome
+vacina_fabricante_referencia
+""".split()
 
-    cols = list(CONTRACT_TYPES)
-    counts = ", ".join(f'count(*) FILTER (WHERE "{c}" IS NULL) AS n{i}' for i, c in enumerate(cols))
+
+def _contract_sql() -> str:
+    counts = ", ".join(f'count(*) FILTER (WHERE "{c}" IS NULL) AS n{i}' for i, c in enumerate(_CONTRACT))
     branches = []
-    for i, c in enumerate(cols):
-        nullable = "TRUE" if c in CONTRACT_NULLABLE else "FALSE"
+    for i, c in enumerate(_CONTRACT):
+        nullable = "TRUE" if c in _CONTRACT_NULLABLE else "FALSE"
+        kind = "integer" if c == _CONTRACT_INTEGER else "string"
         branches.append(
-            f"SELECT '{c}' AS column_name, '{CONTRACT_TYPES[c]}' AS declared_type, {nullable} AS declared_nullable, "
+            f"SELECT '{c}' AS column_name, '{kind}' AS declared_type, {nullable} AS declared_nullable, "
             f"TRUE AS present, CAST(n{i} AS BIGINT) AS null_count, ({nullable} OR n{i} = 0) AS passed FROM counts"
         )
     return with_star("\nUNION ALL\n".join(branches), f"counts AS MATERIALIZED (SELECT {counts} FROM raw_vaccinations)")
@@ -505,3 +522,36 @@ ORACLE["csv_reject_budget"] = with_star("SELECT * FROM raw_population")
 ORACLE["daily_extract_to_landing"] = with_star(
     "SELECT * FROM raw_vaccinations "
     "WHERE CAST(substring(vacina_dataAplicacao, 1, 10) AS DATE) BETWEEN DATE '1998-06-01' AND DATE '1998-06-15'")
+
+ORACLE["csv_rejects"] = "SELECT CAST(r_regionkey AS VARCHAR) || ',' || r_name AS record, CAST(1 AS BIGINT) AS lines FROM region"
+ORACLE["read_partition"] = with_star("SELECT * FROM raw_vaccinations WHERE year_month = '1998-06-01'")
+ORACLE["land_documents"] = "SELECT doc_id, nullif(text, '') AS text, lang, source, n_chars FROM documents"
+
+_NULL_MONTHS = """
+target AS (
+  SELECT o_orderkey, o_totalprice,
+         CASE WHEN o_orderkey % 7 <> 0 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-01') END AS year_month FROM orders
+),
+changed AS (
+  SELECT o_orderkey, o_totalprice + 1 AS o_totalprice, year_month FROM target
+  WHERE (year_month = '1998-06-01' OR year_month IS NULL) AND o_orderkey % 2 = 0
+),
+batch AS (SELECT * FROM changed UNION ALL SELECT -o_orderkey, o_totalprice, year_month FROM changed)"""
+
+ORACLE["write_merge_on_disk"] = f"""WITH {_NULL_MONTHS}
+SELECT * FROM target
+WHERE year_month IS DISTINCT FROM '1998-06-01' OR o_orderkey NOT IN (SELECT o_orderkey FROM batch)
+UNION ALL
+SELECT * FROM batch"""
+
+ORACLE["stream_merge_two_batches"] = f"""WITH {_NULL_MONTHS}
+SELECT * FROM target t
+WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.o_orderkey = t.o_orderkey AND b.year_month IS NOT DISTINCT FROM t.year_month)
+UNION ALL
+SELECT * FROM batch"""
+
+ORACLE["rebuild_table"] = "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'F'"
+ORACLE["month_end_replace"] = with_star(
+    "SELECT * FROM raw_vaccinations WHERE estabelecimento_uf <> 'ASIA' "
+    "AND CAST(substring(vacina_dataAplicacao, 1, 10) AS DATE) BETWEEN DATE '1998-06-01' AND DATE '1998-06-30'")
+ORACLE["check_scalar"] = "SELECT count(DISTINCT l_returnflag) AS n FROM lineitem"

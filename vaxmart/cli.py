@@ -67,6 +67,7 @@ def cmd_build(args) -> None:
         raw = vcsv.load_csv_to_table(
             spark, vcsv.landing_glob(args.vaccinations), RAW_VACCINATIONS, wh.path("raw_vaccinations"),
             max_errors=args.max_errors, budget_check=args.budget_check, partition_by=["year_month"],
+            multi_line=not args.single_line,
         )
     pop = vcsv.load_csv_to_table(
         spark, args.population, RAW_POPULATION, wh.path("raw_population"), max_errors=0,
@@ -74,10 +75,12 @@ def cmd_build(args) -> None:
     )
     if args.run_id:
         rows = pipeline.run_and_publish(spark, raw, pop, args.warehouse, args.run_id,
-                                        expected_states=args.expected_states, quarantine=args.quarantine)
+                                        expected_states=args.expected_states, quarantine=args.quarantine,
+                                        normalized_type=args.normalized_type)
     else:
         rows = pipeline.run(spark, raw, pop, args.warehouse, expected_states=args.expected_states,
-                            raise_on_failure=not args.no_raise, quarantine=args.quarantine)
+                            raise_on_failure=not args.no_raise, quarantine=args.quarantine,
+                                        normalized_type=args.normalized_type)
     print(json.dumps([r.asDict() for r in rows]))
 
 
@@ -100,7 +103,11 @@ def cmd_analyze(args) -> None:
     if args.out:
         df.write.mode("overwrite").parquet(args.out)
     else:
-        df.show(args.show, truncate=False)
+        shown = df.cache()
+        shown.show(args.show, truncate=False)
+        more = shown.count() - args.show
+        if more > 0:
+            print(f"{more} more rows are not shown; --out writes them all")
 
 
 def cmd_ingest(args) -> None:
@@ -129,7 +136,7 @@ def main(argv=None) -> None:
     m.add_argument("--landing", required=True, help="landing root (year_month=*/estabelecimento_uf=*/)")
     m.add_argument("--raw", required=True, help="raw table path (partitioned by year_month)")
     m.add_argument("--year-month", required=True, help="e.g. 2021-07-01")
-    m.add_argument("--max-errors", type=int, default=100)
+    m.add_argument("--max-errors", type=int, default=0)
     m.set_defaults(fn=cmd_load_month)
 
     b = sub.add_parser("build", help="load landing CSV (or use a raw table), build the star; run checks")
@@ -146,6 +153,9 @@ def main(argv=None) -> None:
                    help="build into <warehouse>/runs/<id> and publish it only if every check passes")
     b.add_argument("--quarantine", action="store_true",
                    help="write rows whose values do not cast to staging_rejects instead of failing")
+    b.add_argument("--normalized-type", action="store_true", help="stage the normalised vaccine type, too")
+    b.add_argument("--single-line", action="store_true",
+                   help="no field holds a line break: large plain CSV files can be split")
     b.set_defaults(fn=cmd_build)
 
     a = sub.add_parser("analyze", help="run one analysis on a built warehouse")

@@ -21,23 +21,29 @@ from vaxmart.schemas import FACILITY_ATTRIBUTES, FACT_COLUMNS, PATIENT_ATTRIBUTE
 
 
 def collapse_dimension(
-    df: DataFrame, key: str, attributes: Sequence[str], casts: dict[str, str] | None = None
+    df: DataFrame, key: str, attributes: Sequence[str], casts: dict[str, str] | None = None, few_values: bool = False
 ) -> DataFrame:
     """One row per ``key``; every attribute is its own ``max`` over the group.
 
     Spark evaluates ``max`` of strings with a sort-based aggregate, still in
     two phases: a partial aggregate per map task, then the final one after
-    the shuffle on ``key``. (Dropping duplicate rows first would not help:
-    Catalyst removes such a ``distinct`` below duplicate-insensitive
-    aggregates.)
+    the shuffle on ``key``. ``few_values`` is for dimensions with few
+    different rows: those are counted first, by a hash aggregate, so only
+    they are sorted. (A plain ``distinct`` would be removed by Catalyst below
+    a duplicate-insensitive aggregate; the counts are used, to leave out
+    groups without rows, which there are none of.)
     """
     casts = casts or {}
+    if few_values:
+        df = df.groupBy(key, *attributes).agg(F.count(F.lit(1)).alias("_rows"))
     aggs = []
     for a in attributes:
         agg = F.max(a)
         if a in casts:
             agg = agg.cast(casts[a])
         aggs.append(agg.alias(a))
+    if few_values:
+        return df.groupBy(key).agg(*aggs, F.sum("_rows").alias("_rows")).where("_rows > 0").drop("_rows")
     return df.groupBy(key).agg(*aggs)
 
 
@@ -45,12 +51,12 @@ def build_patients(staging: DataFrame) -> DataFrame:
     return collapse_dimension(staging, "patient_sk", PATIENT_ATTRIBUTES, casts={"patient_age": "int"})
 
 
-def build_facilities(staging: DataFrame) -> DataFrame:
-    return collapse_dimension(staging, "facility_sk", FACILITY_ATTRIBUTES)
+def build_facilities(staging: DataFrame, few_values: bool = False) -> DataFrame:
+    return collapse_dimension(staging, "facility_sk", FACILITY_ATTRIBUTES, few_values=few_values)
 
 
-def build_vaccines(staging: DataFrame) -> DataFrame:
-    return collapse_dimension(staging, "vaccine_sk", VACCINE_ATTRIBUTES)
+def build_vaccines(staging: DataFrame, few_values: bool = False) -> DataFrame:
+    return collapse_dimension(staging, "vaccine_sk", VACCINE_ATTRIBUTES, few_values=few_values)
 
 
 def crop_city_code(col: str = "city_ibge_code", length: int = 6):

@@ -96,11 +96,11 @@ def format_bookmark(state: str, day: dt.date | None) -> str:
 BOOKMARK_RUN = "run_until"
 
 
-def latest_bookmarks(spark, bookmark_path: str, until: dt.date | str) -> DataFrame:
+def latest_bookmarks(spark, bookmark_path: str, until: dt.date | str, before: bool = False) -> DataFrame:
     """Bookmarks of the latest run on or before ``until`` (no rows if none).
 
-    A run repeated for the same day therefore resumes from that day's
-    bookmarks and extracts nothing twice.
+    With ``before``, of the latest run before it: a run repeated for the same
+    day then extracts the same days again and replaces its own output.
 
     The bookmark table is partitioned by run date; the latest run is picked
     with a scalar subquery, so nothing is collected to the driver.
@@ -108,7 +108,7 @@ def latest_bookmarks(spark, bookmark_path: str, until: dt.date | str) -> DataFra
     from vaxmart.sources.tables import ensure_table
 
     table = ensure_table(spark, bookmark_path, BOOKMARK_SCHEMA, partition_by=[BOOKMARK_RUN])
-    earlier = table.where(F.col(BOOKMARK_RUN) <= F.lit(str(until)))
+    earlier = table.where(F.col(BOOKMARK_RUN) < F.lit(str(until)) if before else F.col(BOOKMARK_RUN) <= F.lit(str(until)))
     latest = earlier.select(F.max(BOOKMARK_RUN)).scalar()
     return earlier.where(F.col(BOOKMARK_RUN) == latest).select(BOOKMARK_STATE, BOOKMARK_DATE)
 
@@ -126,21 +126,22 @@ def extract_to_landing(
 ) -> str:
     """One daily extraction run for all states; returns the load mode used.
 
-    On the last day of a month the whole month is extracted again and its
-    landing partitions are replaced (bookmarks ignored); otherwise the rows
-    after each state's bookmark are appended. The new bookmarks are written
-    only after the landing write has committed, so a failed run leaves the
-    previous bookmarks (and, in replace mode, the previous files) in place.
+    On the last day of a month the whole month is extracted again and the
+    month's landing files of every state are replaced (bookmarks ignored);
+    otherwise the rows after each state's bookmark are appended. Files go
+    under the month of ``until``, in a folder of the run, so a run that is
+    repeated replaces what it landed before. The new bookmarks are written
+    only after the landing write has committed.
     """
-    from vaxmart.sources.tables import land_partitioned
+    from vaxmart.sources.tables import land_run
 
     mode = load_mode_for(until)
-    previous = None if mode == "replace" else latest_bookmarks(spark, bookmark_path, until)
+    previous = None if mode == "replace" else latest_bookmarks(spark, bookmark_path, until, before=True)
     # The run's rows (a day, or a month on replace) feed two writes; persist
     # them so the source is read once (a lost executor recomputes its part).
     rows = incremental_extract(source, until, previous, state_col, date_col, states, inclusive).persist()
     try:
-        land_partitioned(rows, landing_base, mode=mode)
+        land_run(rows, landing_base, until, mode, states)
         nxt = next_bookmarks(rows, previous, state_col, date_col).withColumn(BOOKMARK_RUN, F.lit(str(until)))
         (
             nxt.write.mode("overwrite")

@@ -39,7 +39,7 @@ def merge_partition(
     target: DataFrame, batch: DataFrame, pk: str | Sequence[str], partition_col: str, partition_value
 ) -> DataFrame:
     """The whole table after merging ``batch`` into partition ``partition_value``."""
-    in_partition = F.col(partition_col) == F.lit(partition_value)
+    in_partition = F.col(partition_col).eqNullSafe(F.lit(partition_value))
     others = target.where(~F.col(partition_col).eqNullSafe(F.lit(partition_value)))
     return others.unionByName(merge_rows(target.where(in_partition), batch, pk))
 
@@ -68,9 +68,9 @@ def write_merge(
     Rewritten partitions: the loaded one (survivors + its batch rows) and any
     other partition the batch carries (its target rows kept + the batch rows,
     since nothing is deleted outside the loaded partition). The loaded
-    partition is read through a static partition filter; for the carried
-    ones the (broadcast) partition values let dynamic partition pruning skip
-    the rest when Spark estimates it pays. Untouched partitions are not
+    partition is read through a static partition filter; the carried ones
+    through a semi join with the batch's partition values, which AQE
+    broadcasts when they measure small. Untouched partitions are not
     written (dynamic overwrite); the swap happens on job commit.
     """
     if schema is not None:
@@ -78,12 +78,11 @@ def write_merge(
     else:
         target = spark.read.parquet(target_path)
     keys = _keys(pk)
-    in_partition = F.col(partition_col) == F.lit(partition_value)
+    in_partition = F.col(partition_col).eqNullSafe(F.lit(partition_value))
     survivors = target.where(in_partition).join(batch.select(*keys).distinct(), keys, "left_anti")
-    # One row per partition value the batch carries (months: a calendar-bounded
-    # set), broadcast so dynamic partition pruning can skip the others.
-    other_parts = F.broadcast(batch.where(~in_partition).select(partition_col).distinct())
-    carried = target.where(~in_partition).join(other_parts, partition_col, "left_semi")
+    # One row per partition value the batch carries; null is a partition too.
+    other_parts = batch.where(~in_partition).select(F.col(partition_col).alias("_p")).distinct()
+    carried = target.where(~in_partition).join(other_parts, F.col(partition_col).eqNullSafe(F.col("_p")), "left_semi")
     rows = survivors.unionByName(carried).unionByName(batch.select(*target.columns))
     # Dynamic overwrite cannot empty a partition. If the batch has no row of
     # the loaded partition and deletes all of its rows, clear the partition
@@ -99,7 +98,7 @@ def write_merge(
     if clear:
         empty = spark.createDataFrame([], target.drop(partition_col).schema)
         empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-            f"{target_path.rstrip('/')}/{partition_col}={partition_value}"
+            f"{target_path.rstrip('/')}/{partition_col}={'__HIVE_DEFAULT_PARTITION__' if partition_value is None else partition_value}"
         )
 
 

@@ -139,7 +139,11 @@ def contract_report(
 
     Columns: column_name, declared_type, declared_nullable, present,
     null_count, passed. All null counts come from a single aggregate pass.
+    A column of another type than declared does not pass.
     """
+    simple = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    alias = {"integer": "int", "long": "bigint"}
+    mistyped = [c for c, t in contract_types.items() if c in simple and simple[c] != alias.get(t, t)]
     present = [c for c in contract_types if c in df.columns]
     extra = [c for c in df.columns if c not in contract_types]
     counted = present + extra
@@ -173,6 +177,7 @@ def contract_report(
     rows = counts.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
     passed = (
         F.col("present")
+        & ~F.col("column_name").isin(mistyped)
         & F.col("declared_type").isNotNull()
         & (F.col("declared_nullable") | (F.col("null_count") == 0))
     )

@@ -430,6 +430,80 @@ def csv_reject_budget(spark, sf_dir):
     )
 
 
+@register
+def csv_rejects(spark, sf_dir):
+    """Lines of landed ``region`` files read as population rows: all are
+    rejected (the header lines are skipped) and kept as data."""
+    from vaxmart.schemas import RAW_POPULATION
+
+    base, target = scratch_path(spark, "stray"), scratch_path(spark, "raw_population")
+    load_table(spark, sf_dir, "region").select("r_regionkey", "r_name").write.option("header", True).csv(base)
+    _csv.load_csv_to_table(spark, f"{base}/*.csv", RAW_POPULATION, target, max_errors=VACCINATION_MAX_ERRORS)
+    return _csv.read_rejects(spark, target).select(F.trim("record").alias("record"), "lines")
+
+
+@register
+def read_partition(spark, sf_dir):
+    """One month of the landed raw table, read alone."""
+    base = scratch_path(spark, "landing")
+    land_partitioned(raw_vaccinations(spark, sf_dir), base, mode="append")
+    return _csv.read_partition(spark, base, "year_month", "1998-06-01", RAW_VACCINATIONS)
+
+
+@register
+def land_documents(spark, sf_dir):
+    """Prose with quotes, commas and line breaks, landed by language and read back."""
+    docs = load_table(spark, sf_dir, "documents")
+    base = scratch_path(spark, "documents-landing")
+    land_partitioned(docs, base, mode="append", partition_by=["lang"])
+    return _csv.load_csv(spark, _csv.landing_glob(base, ["lang"]), docs.schema)
+
+
+def _orders_with_null_months(spark, sf_dir):
+    """Orders, every seventh without a month; batches of changed and new keys, null months among them."""
+    orders = load_table(spark, sf_dir, "orders")
+    month = F.when(F.col("o_orderkey") % 7 != 0, F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM-01"))
+    target = orders.select("o_orderkey", "o_totalprice", month.alias("year_month"))
+    some = (F.col("year_month") == "1998-06-01") | F.col("year_month").isNull()
+    changed = target.where(some & (F.col("o_orderkey") % 2 == 0)).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    return target, changed.union(changed.withColumn("o_orderkey", -F.col("o_orderkey")))
+
+
+@register
+def write_merge_on_disk(spark, sf_dir):
+    """The partition merge on disk, for one month; rows without a month are a partition of their own."""
+    from vaxmart.sources.tables import rebuild_table
+
+    target, batch = _orders_with_null_months(spark, sf_dir)
+    path = scratch_path(spark, "orders")
+    rebuild_table(target, path, partition_by=["year_month"])
+    _merge.write_merge(spark, path, batch, "o_orderkey", "year_month", "1998-06-01", schema=target.schema)
+    return spark.read.schema(target.schema).parquet(path).select(*target.columns)
+
+
+@register
+def stream_merge_two_batches(spark, sf_dir):
+    """Two runs of the stream: the orders, then changed and new ones, null months among them."""
+    target, batch = _orders_with_null_months(spark, sf_dir)
+    base, path, ckpt = (scratch_path(spark, n) for n in ("orders-landing", "orders", "orders-ckpt"))
+    for rows in (target, batch):
+        land_partitioned(rows, base, mode="append", partition_by=["year_month"])
+        stream_merge(spark, base, path, ckpt, pk="o_orderkey", schema=target.schema, partitions=["year_month"]).awaitTermination()
+    return spark.read.schema(target.schema).parquet(path).select(*target.columns)
+
+
+@register
+def rebuild_table(spark, sf_dir):
+    """Drop and create: the second build replaces the first whole, partitions it does not have too."""
+    from vaxmart.sources import tables
+
+    orders = load_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    path = scratch_path(spark, "orders")
+    tables.rebuild_table(orders, path, partition_by=["o_orderstatus"])
+    tables.rebuild_table(orders.where("o_orderstatus <> 'F'"), path, partition_by=["o_orderstatus"])
+    return spark.read.parquet(path).select("o_orderkey", "o_orderstatus")
+
+
 # --- fixed value: run date of the daily-extraction scenario -------------------
 DAILY_RUN_UNTIL = dt.date(1998, 6, 15)
 
@@ -446,3 +520,23 @@ def daily_extract_to_landing(spark, sf_dir):
         spark, _csv.landing_glob(landing), RAW_VACCINATIONS, scratch_path(spark, "raw_vaccinations"),
         max_errors=VACCINATION_MAX_ERRORS,
     )
+
+
+@register
+def month_end_replace(spark, sf_dir):
+    """An append run, then the month-end run over a source in which one state
+    has no rows any more: its landed rows go, too."""
+    landing, bookmarks = scratch_path(spark, "landing"), scratch_path(spark, "bookmarks")
+    source = raw_vaccinations(spark, sf_dir)
+    ingest.extract_to_landing(spark, source, landing, bookmarks, DAILY_RUN_UNTIL)
+    later = source.where("estabelecimento_uf <> 'ASIA'")
+    ingest.extract_to_landing(spark, later, landing, bookmarks, dt.date(1998, 6, 30))
+    return _csv.load_csv(spark, _csv.landing_glob(landing), RAW_VACCINATIONS)
+
+
+@register
+def check_scalar(spark, sf_dir):
+    """A query's single value against the expected one."""
+    flags = load_table(spark, sf_dir, "lineitem").agg(F.count_distinct("l_returnflag").alias("n"))
+    dq.check_scalar(flags, 3)
+    return flags

@@ -35,11 +35,11 @@ class Star:
 
     @cached_property
     def facilities(self) -> DataFrame:
-        return dims.build_facilities(self.staging)
+        return dims.build_facilities(self.staging, few_values=True)
 
     @cached_property
     def vaccines(self) -> DataFrame:
-        return dims.build_vaccines(self.staging)
+        return dims.build_vaccines(self.staging, few_values=True)
 
     @cached_property
     def cities(self) -> DataFrame:

@@ -20,12 +20,23 @@ from pyspark.sql import types as T
 from vaxmart.schemas import LANDING_PARTITIONS
 
 CORRUPT = "_corrupt_record"
+# Files of a landing partition, or of one run in it.
+DATA_FILES = "{*.csv*,run_until=*/*.csv*}"
 
 
 class RejectBudgetExceeded(RuntimeError):
     pass
 
 
+def rejected_lines(column: str = CORRUPT):
+    """Physical lines of the rejected record of a row (0 for a good row). An
+    unbalanced quote swallows the lines after it into one record; counted in
+    lines, it spends the budget like the rows it hides."""
+    text = F.col(column)
+    body = F.regexp_replace(text, r"[\r\n]+$", "")
+    return F.when(text.isNull(), 0).otherwise(1 + F.length(body) - F.length(F.regexp_replace(body, "\n", "")))
+
+
 def csv_reader(
     spark: SparkSession, schema: T.StructType, header: bool = True, with_corrupt: bool = False, multi_line: bool = True
 ):
@@ -49,11 +60,12 @@ def csv_reader(
 
 
 def landing_glob(base: str, partitions: list[str] | None = None) -> str:
-    """Data files under ``base/<p1>=*/<p2>=*/``; excludes anything else such
-    as a left-over ``trash/`` folder, and turns partition discovery off (the
-    partition columns are also inside the files)."""
+    """Data files under ``base/<p1>=*/<p2>=*/``, in the folders of single runs
+    there too; excludes anything else such as a left-over ``trash/`` folder,
+    and turns partition discovery off (the partition columns are also inside
+    the files)."""
     parts = "/".join(f"{p}=*" for p in (partitions or LANDING_PARTITIONS))
-    return f"{base.rstrip('/')}/{parts}/*.csv*"
+    return f"{base.rstrip('/')}/{parts}/{DATA_FILES}"
 
 
 def rejects_allowed(n_rejects: int, max_errors: int) -> bool:
@@ -82,14 +94,21 @@ class CsvLoad:
     def rejects(self) -> DataFrame:
         return self.parsed.where(F.col(CORRUPT).isNotNull())
 
+    def rejects_table(self) -> DataFrame:
+        """(file, record, lines) of every rejected record, and the columns as far as they parsed; all of them are
+        selected so that every field is parsed (see ``good``)."""
+        rows = self.rejects.select(F.input_file_name().alias("_file"), CORRUPT, *self.columns)
+        return rows.withColumnRenamed(CORRUPT, "_record").withColumn(
+            "_lines", rejected_lines("_record").cast("long"))
+
     def reject_count(self) -> int:
         # Spark converts only the columns a query references, and refuses a
         # query on the corrupt column alone: hashing the whole row makes every
         # field parse, so a bad value in any column counts, in one pass.
         row = self.parsed.agg(
-            F.count_if(F.col(CORRUPT).isNotNull()).alias("bad"), F.max(F.xxhash64(*self.columns)).alias("_all")
+            F.sum(rejected_lines()).alias("bad"), F.max(F.xxhash64(*self.columns)).alias("_all")
         ).first()
-        return int(row["bad"])
+        return int(row["bad"] or 0)
 
     def check_budget(self) -> int:
         n = self.reject_count()
@@ -124,6 +143,16 @@ def load_csv(
     return load.good
 
 
+def rejects_path(target_path: str) -> str:
+    return f"{target_path.rstrip('/')}__rejects"
+
+
+def read_rejects(spark: SparkSession, target_path: str) -> DataFrame:
+    """The rejected records of the last load into ``target_path`` that had some."""
+    rows = spark.read.parquet(rejects_path(target_path))
+    return rows.select(F.col("_file").alias("file"), F.col("_record").alias("record"), F.col("_lines").alias("lines"))
+
+
 def load_csv_to_table(
     spark: SparkSession,
     path: str | list[str],
@@ -144,6 +173,8 @@ def load_csv_to_table(
     The observed count can only over-count (a shuffle-map stage re-run after
     a lost executor adds its rows again), so it never lets a load through
     that is over budget.
+    Rejected records are kept in the table at ``rejects_path(target_path)``
+    (file, record, lines), written only when there are some.
     ``budget_check="before"``: a counting pass first; nothing is written
     when the budget is exceeded (the warehouse behaviour), at the price of
     parsing the files twice.
@@ -152,12 +183,12 @@ def load_csv_to_table(
 
     load = read_csv_bulk(spark, path, schema, max_errors=max_errors, header=header, multi_line=multi_line)
     if budget_check == "before":
-        load.check_budget()
+        n = load.check_budget()
         parsed = load.parsed
         obs = None
     elif budget_check == "during":
         obs = Observation("csv_rejects")
-        parsed = load.parsed.observe(obs, F.count_if(F.col(CORRUPT).isNotNull()).alias("bad"))
+        parsed = load.parsed.observe(obs, F.sum(rejected_lines()).alias("bad"))
     else:
         raise ValueError("budget_check must be 'during' or 'before'")
     good = parsed.where(F.col(CORRUPT).isNull()).select(*load.columns)
@@ -167,6 +198,9 @@ def load_csv_to_table(
     writer.parquet(target_path)
     if obs is not None:
         n = int(obs.get.get("bad", 0) or 0)
+    if n:
+        load.rejects_table().write.mode("overwrite").parquet(rejects_path(target_path))
+    if obs is not None:
         if not rejects_allowed(n, max_errors):
             raise RejectBudgetExceeded(f"{n} rejected rows; budget {max_errors} (table written to {target_path})")
     return spark.read.parquet(target_path).select(*load.columns)
@@ -184,11 +218,13 @@ def read_partition(
     schema: T.StructType,
     sub_partitions: list[str] | None = None,
     header: bool = True,
+    max_errors: int = 0,
 ) -> DataFrame:
     """Read one partition directory (``base/column=value``) only: the other
-    partitions' files are never listed or opened."""
+    partitions' files are never listed or opened. Malformed rows are held
+    against the budget like in a bulk load (default: none allowed)."""
     subs = sub_partitions if sub_partitions is not None else [p for p in LANDING_PARTITIONS if p != column]
     inner = "/".join(f"{p}=*" for p in subs)
     root = partition_path(base, column, value)
-    pattern = f"{root}/{inner}/*.csv*" if inner else f"{root}/*.csv*"
-    return csv_reader(spark, schema, header=header).csv(pattern)
+    pattern = f"{root}/{inner}/{DATA_FILES}" if inner else f"{root}/{DATA_FILES}"
+    return load_csv(spark, pattern, schema, max_errors=max_errors, header=header)

@@ -7,10 +7,11 @@ receive rows are replaced, and only when the write job commits.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -120,22 +121,69 @@ def land_partitioned(
     columns differ: they carry a ``_value`` suffix). ``mode='append'`` adds
     files; ``mode='replace'`` replaces exactly the partitions present in
     ``df``, on job commit, so a failed run leaves the old files in place.
+    Values come back as they were, blanks at their ends included; only an
+    empty text reads back as null, since the format does not tell them apart.
     """
     if mode not in ("append", "replace"):
         raise ValueError("mode must be 'append' or 'replace'")
     data_cols = [F.col(c).alias(c + IN_FILE_SUFFIX) if c in partition_by else F.col(c) for c in df.columns]
     out = rebalanced(df.select(*data_cols, *[F.col(p) for p in partition_by]), partition_by)
+    writer = _landing_writer(out, partition_by, compression, max_records_per_file)
+    if mode == "replace":
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode("append")
+    writer.csv(base)
+
+
+def land_run(
+    df: DataFrame,
+    base: str,
+    until: dt.date,
+    mode: str,
+    states: Sequence[str] | None = None,
+    partition_by: Sequence[str] = LANDING_PARTITIONS,
+    compression: str = "gzip",
+) -> None:
+    """Land the rows of the run of ``until`` under the month of that date,
+    whatever month the rows name: ``base/<month>/<state>/run_until=<until>/``.
+
+    ``append`` replaces the run's own folders only, so a run that is repeated
+    after a crash lands its rows once. ``replace`` first empties the month, of
+    the given states or of all, also where the run has no rows; a crash in
+    between leaves the month to the next run.
+    """
+    month_col, state_col = partition_by
+    month = f"{until:%Y-%m}-01"
+    data_cols = [F.col(c).alias(c + IN_FILE_SUFFIX) if c in partition_by else F.col(c) for c in df.columns]
+    out = df.select(*data_cols, F.lit(month).alias(month_col), F.col(state_col), F.lit(str(until)).alias("run_until"))
+    if mode == "append":
+        dirs = [month_col, state_col, "run_until"]
+        writer = _landing_writer(rebalanced(out, dirs), dirs, compression).mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").csv(base)
+        return
+    folder = f"{base.rstrip('/')}/{month_col}={month}"
+    whole = [(out.drop(month_col), folder, [state_col, "run_until"])]
+    for rows, path, dirs in whole if states is None else [
+        (out.where(F.col(state_col) == s).drop(month_col, state_col), f"{folder}/{state_col}={s}", ["run_until"]) for s in states
+    ]:
+        writer = _landing_writer(rebalanced(rows, dirs), dirs, compression).mode("overwrite")
+        writer.option("partitionOverwriteMode", "static").csv(path)
+
+
+def _landing_writer(
+    out: DataFrame, partition_by: Sequence[str], compression: str, max_records_per_file: int | None = None
+) -> DataFrameWriter:
     writer = (
         out.write.partitionBy(*partition_by)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("compression", compression)
+        # Spark's CSV writer trims values by default.
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
     )
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    if mode == "replace":
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode("append")
-    writer.csv(base)
+    return writer
