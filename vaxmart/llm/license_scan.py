@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaxmart.llm.common import prepare
+from vaxmart.llm.common import cut, prepare
 
 #: Short notices by licence name.
 TEMPLATES = {
@@ -124,7 +124,8 @@ def scan(files: DataFrame, templates: dict[str, str] | None = None) -> DataFrame
 
     rows = files.select("doc_id", F.col("path").cast("string").alias("path"), F.col("text").cast("string").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    own = rows.mapInArrow(run, f"doc_id {id_type}, path string, header string, header_cosine double, file string, file_cosine double")
+    own = cut(rows.mapInArrow(
+        run, f"doc_id {id_type}, path string, header string, header_cosine double, file string, file_cosine double"), "licences")
     own = own.withColumn("dir", F.regexp_replace("path", "/?[^/]*$", ""))
 
     # Directories of files without a licence of their own, each with all directories above it; the deepest licence wins.
