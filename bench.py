@@ -9,6 +9,9 @@ two runs:
   * ``pipeline`` — the whole load job (staging, 5 dimensions, fact,
     calendar written as Parquet, five checks), then the four analyses on
     the written star (``*_star``), which is how they run in production.
+  * ``ingest_*`` — landing the raw table as partitioned gzip CSV, the bulk
+    load of those files, the merge of one month, and the stream over all of
+    them; one run each, beside the total so that it stays comparable.
 Prints one JSON line.
 """
 
@@ -22,10 +25,15 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from vaxmart.plans import analytics, pipeline  # noqa: E402
 from vaxmart.plans.catalog import AS_OF, QUERIES  # noqa: E402
+from vaxmart.schemas import RAW_VACCINATIONS  # noqa: E402
 from vaxmart.session import build_session, scratch_path  # noqa: E402
-from vaxmart.sources import fixtures  # noqa: E402
+from vaxmart.sources import csv, fixtures  # noqa: E402
+from vaxmart.sources.tables import land_partitioned  # noqa: E402
+from vaxmart.streaming.merge_stream import stream_merge  # noqa: E402
 
 RAW_QUERIES = [
     "stg_surrogate_keys",
@@ -47,6 +55,20 @@ def timed(fn) -> float:
     return round(time.perf_counter() - t0, 3)
 
 
+def ingest_times(spark, sf_dir: str) -> dict[str, float]:
+    landing, loaded, raw, streamed, ckpt = (
+        scratch_path(spark, f"bench-{n}") for n in ("landing", "loaded", "raw", "streamed", "stream-ckpt"))
+    rows = fixtures.raw_vaccinations(spark, sf_dir)
+    month = rows.agg(F.max("year_month")).first()[0]
+    return {
+        "ingest_land_csv": timed(lambda: land_partitioned(rows, landing)),
+        "ingest_load_csv": timed(
+            lambda: csv.load_csv_to_table(spark, csv.landing_glob(landing), RAW_VACCINATIONS, loaded)),
+        "ingest_merge_month": timed(lambda: pipeline.load_month(spark, landing, raw, month)),
+        "ingest_stream_merge": timed(lambda: stream_merge(spark, landing, streamed, ckpt).awaitTermination()),
+    }
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -89,6 +111,7 @@ def main() -> None:
         times[name] = min(timed(lambda q=q: run_noop(q())) for _ in range(2))
 
     headline = [k for k in times if not k.endswith("_cold")]
+    times |= ingest_times(spark, sf_dir)
     total = round(sum(times[k] for k in headline), 3)
     print(json.dumps({
         "metric": "total_warm_seconds",

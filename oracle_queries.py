@@ -450,20 +450,26 @@ vacina_fabricante_referencia
 """.split()
 
 
-def _contract_sql() -> str:
+def _contract_sql(mistyped: str = "", missing: str = "", extra: str = "", extra_from: str = "") -> str:
     counts = ", ".join(f'count(*) FILTER (WHERE "{c}" IS NULL) AS n{i}' for i, c in enumerate(_CONTRACT))
     branches = []
     for i, c in enumerate(_CONTRACT):
         nullable = "TRUE" if c in _CONTRACT_NULLABLE else "FALSE"
         kind = "integer" if c == _CONTRACT_INTEGER else "string"
+        nulls = "NULL" if c == missing else f"n{i}"
+        passed = "FALSE" if c in (missing, mistyped) else f"({nullable} OR n{i} = 0)"
         branches.append(
             f"SELECT '{c}' AS column_name, '{kind}' AS declared_type, {nullable} AS declared_nullable, "
-            f"TRUE AS present, CAST(n{i} AS BIGINT) AS null_count, ({nullable} OR n{i} = 0) AS passed FROM counts"
+            f"{c != missing} AS present, CAST({nulls} AS BIGINT) AS null_count, {passed} AS passed FROM counts"
         )
+    if extra:
+        branches.append(f"SELECT '{extra}', NULL, NULL, TRUE, CAST(n{_CONTRACT.index(extra_from)} AS BIGINT), FALSE FROM counts")
     return with_star("\nUNION ALL\n".join(branches), f"counts AS MATERIALIZED (SELECT {counts} FROM raw_vaccinations)")
 
 
 ORACLE["contract_report"] = _contract_sql()
+ORACLE["contract_report_violations"] = _contract_sql("paciente_idade", "version", "note", "vacina_lote")
+ORACLE["fact_written_layout"] = with_star("SELECT * FROM fact")
 
 # --- ingestion logic -----------------------------------------------------------------
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -90,6 +91,14 @@ def test_load_month_merges_one_partition(spark, workdir):
     assert got.count() == want.count()
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.select(*RAW_VACCINATIONS.names).collect()), key=str)
     cli.main(["load-month", "--landing", landing, "--raw", raw_path, "--year-month", months[2]])
+    from pathlib import Path
+
+    from vaxmart.session import checkpoint_dir, drop_scratch
+
+    # parsed copies of the months go once they are merged
+    assert not list(Path(checkpoint_dir(spark)).glob(f"batch-{months[2]}-*"))
+    with pytest.raises(ValueError):
+        drop_scratch(spark, raw_path)
     assert spark.read.parquet(raw_path).select("year_month").distinct().count() == 3
 
 
@@ -108,3 +117,34 @@ def test_cli_extract_lands_the_month_up_to_the_run_date(spark, workdir):
     want = raw.where((day >= F.lit("1998-06-01").cast("date")) & (day <= F.lit("1998-06-15").cast("date")))
     got = vcsv.load_csv(spark, vcsv.landing_glob(landing), RAW_VACCINATIONS)
     assert sorted(r.document_id for r in got.collect()) == sorted(r.document_id for r in want.collect())
+
+
+def test_cli_ingest_streams_the_landing_files(spark, workdir):
+    raw = raw_vaccinations(spark, SF_SMALL).where("year_month = '1998-06-01'")
+    landing, target = f"{workdir}/landing", f"{workdir}/raw"
+    land_partitioned(raw, landing)
+    for _ in range(2):
+        cli.main(["ingest", "--landing", landing, "--target", target, "--checkpoint", f"{workdir}/ckpt"])
+        assert spark.read.parquet(target).count() == raw.count() > 0
+
+
+def test_load_month_keeps_rejects_beside_the_raw_table(spark, workdir):
+    import os
+
+    from vaxmart.plans import pipeline
+    from vaxmart.schemas import RAW_VACCINATIONS
+    from vaxmart.sources import csv as vcsv
+    from vaxmart.sources.tables import is_empty
+
+    raw = raw_vaccinations(spark, SF_SMALL).where("year_month = '1998-06-01'")
+    landing, raw_path = f"{workdir}/landing", f"{workdir}/raw"
+    land_partitioned(raw, landing)
+    folder = f"{landing}/year_month=1998-06-01/estabelecimento_uf=XX"
+    os.makedirs(folder)
+    with open(f"{folder}/stray.csv", "w") as f:
+        f.write("header\nonly,two\n")
+    with pytest.raises(vcsv.RejectBudgetExceeded):
+        pipeline.load_month(spark, landing, raw_path, "1998-06-01")
+    assert is_empty(spark, raw_path, RAW_VACCINATIONS)
+    assert pipeline.load_month(spark, landing, raw_path, "1998-06-01", max_errors=2).count() == raw.count()
+    assert [r.record.strip() for r in vcsv.read_rejects(spark, raw_path).collect()] == ["only,two"]

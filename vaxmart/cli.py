@@ -16,11 +16,12 @@ import argparse
 import datetime as dt
 import json
 
+from vaxmart.operators.quality import conform_to_contract
 from vaxmart.plans import analytics, pipeline
 from vaxmart.schemas import RAW_POPULATION, RAW_VACCINATIONS
 from vaxmart.session import build_session
 from vaxmart.sources import csv as vcsv
-from vaxmart.streaming.merge_stream import stream_merge
+from vaxmart.streaming.merge_stream import MAX_FILES, stream_merge
 
 ANALYSES = ("cumulative_per_capita", "daily_per_capita_moving_avg", "weekly_by_type", "late_second_dose")
 
@@ -44,7 +45,7 @@ def cmd_extract(args) -> None:
     if args.source_format == "csv":
         source = vcsv.load_csv(spark, args.source, RAW_VACCINATIONS, max_errors=args.max_errors)
     else:
-        source = spark.read.parquet(args.source).select(*RAW_VACCINATIONS.names)
+        source = conform_to_contract(spark.read.parquet(args.source))
     states = args.states.split(",") if args.states else None
     mode = extract_to_landing(spark, source, args.landing, args.bookmarks, dt.date.fromisoformat(args.until),
                               states=states)
@@ -62,7 +63,7 @@ def cmd_build(args) -> None:
     spark = _session(args)
     wh = pipeline.Warehouse(args.warehouse)
     if args.raw_table:
-        raw = spark.read.parquet(args.raw_table).select(*RAW_VACCINATIONS.names)
+        raw = conform_to_contract(spark.read.parquet(args.raw_table))
     else:
         raw = vcsv.load_csv_to_table(
             spark, vcsv.landing_glob(args.vaccinations), RAW_VACCINATIONS, wh.path("raw_vaccinations"),
@@ -80,7 +81,7 @@ def cmd_build(args) -> None:
     else:
         rows = pipeline.run(spark, raw, pop, args.warehouse, expected_states=args.expected_states,
                             raise_on_failure=not args.no_raise, quarantine=args.quarantine,
-                                        normalized_type=args.normalized_type)
+                            normalized_type=args.normalized_type)
     print(json.dumps([r.asDict() for r in rows]))
 
 
@@ -113,7 +114,7 @@ def cmd_analyze(args) -> None:
 def cmd_ingest(args) -> None:
     spark = _session(args)
     query = stream_merge(spark, args.landing, args.target, args.checkpoint,
-                         max_files_per_trigger=args.max_files_per_trigger)
+                         max_files_per_trigger=args.max_files_per_trigger, max_errors=args.max_errors)
     query.awaitTermination()
 
 
@@ -129,7 +130,7 @@ def main(argv=None) -> None:
     e.add_argument("--bookmarks", required=True, help="bookmark table path")
     e.add_argument("--until", required=True, help="run date; the month's last day reloads the month")
     e.add_argument("--states", default=None, help="comma separated, e.g. AC,MA,PE,PR,RS,SC")
-    e.add_argument("--max-errors", type=int, default=100)
+    e.add_argument("--max-errors", type=int, default=0)
     e.set_defaults(fn=cmd_extract)
 
     m = sub.add_parser("load-month", help="merge one month of landing files into the raw table")
@@ -173,7 +174,8 @@ def main(argv=None) -> None:
     i.add_argument("--landing", required=True)
     i.add_argument("--target", required=True)
     i.add_argument("--checkpoint", required=True)
-    i.add_argument("--max-files-per-trigger", type=int, default=None)
+    i.add_argument("--max-files-per-trigger", type=int, default=MAX_FILES)
+    i.add_argument("--max-errors", type=int, default=0, help="rejected lines allowed in a batch")
     i.set_defaults(fn=cmd_ingest)
 
     args = p.parse_args(argv)

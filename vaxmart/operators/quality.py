@@ -130,6 +130,12 @@ def assert_report(report: DataFrame) -> list:
     return rows
 
 
+def _mistyped(df: DataFrame, contract_types: dict[str, str]) -> list[str]:
+    simple = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    alias = {"integer": "int", "long": "bigint"}
+    return [c for c, t in contract_types.items() if c in simple and simple[c] != alias.get(t, t)]
+
+
 def contract_report(
     df: DataFrame,
     contract_types: dict[str, str] = CONTRACT_TYPES,
@@ -141,9 +147,7 @@ def contract_report(
     null_count, passed. All null counts come from a single aggregate pass.
     A column of another type than declared does not pass.
     """
-    simple = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    alias = {"integer": "int", "long": "bigint"}
-    mistyped = [c for c, t in contract_types.items() if c in simple and simple[c] != alias.get(t, t)]
+    mistyped = _mistyped(df, contract_types)
     present = [c for c in contract_types if c in df.columns]
     extra = [c for c in df.columns if c not in contract_types]
     counted = present + extra
@@ -186,8 +190,12 @@ def contract_report(
 
 def conform_to_contract(df: DataFrame, contract_types: dict[str, str] = CONTRACT_TYPES) -> DataFrame:
     """Select the contract's columns in contract order (extra columns dropped);
-    raise if a contract column is missing. A projection: no data is read."""
+    raise if a contract column is missing or has another type than declared.
+    A projection: no data is read."""
     missing = [c for c in contract_types if c not in df.columns]
     if missing:
         raise DataQualityError(f"missing contract columns: {', '.join(missing)}")
+    mistyped = _mistyped(df, contract_types)
+    if mistyped:
+        raise DataQualityError(f"contract columns of another type: {', '.join(mistyped)}")
     return df.select(*contract_types)

@@ -300,6 +300,29 @@ def contract_report(spark, sf_dir):
     return dq.contract_report(raw_vaccinations(spark, sf_dir))
 
 
+@register
+def contract_report_violations(spark, sf_dir):
+    """The report on a table with a text age, without one column, and with one too many."""
+    rows = raw_vaccinations(spark, sf_dir)
+    age = F.col("paciente_idade").cast("string")
+    return dq.contract_report(rows.withColumn("paciente_idade", age).drop("version").withColumn("note", F.col("vacina_lote")))
+
+
+# --- physical layout ----------------------------------------------------------------
+
+
+@register
+def fact_written_layout(spark, sf_dir):
+    """The fact written in date order, a hot date split by the row's own key, and read back."""
+    from vaxmart.sources import tables
+
+    fact = star_from_fixtures(spark, sf_dir).fact
+    order = ["vaccination_date", "vaccination_sk"]
+    path = scratch_path(spark, "fact")
+    tables.rebuild_table(tables.write_layout(fact, range_by=order, sort_by=order), path)
+    return spark.read.parquet(path)
+
+
 # --- ingestion logic ---------------------------------------------------------------
 
 

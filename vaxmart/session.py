@@ -50,8 +50,11 @@ def build_session(
 
 
 def apply_required_conf(spark: SparkSession) -> None:
-    """Set the runtime SQL settings on an existing session (idempotent)."""
-    for key, value in REQUIRED_CONF.items():
+    """Set the runtime SQL settings on an existing session (idempotent).
+
+    The adaptive ones are set, too: the skew handling of joins and the
+    ``rebalance`` of partitioned writes have no effect without them."""
+    for key, value in {**REQUIRED_CONF, **ADAPTIVE_CONF}.items():
         spark.conf.set(key, value)
 
 
@@ -77,5 +80,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table that nothing reads any more; refuses paths outside the checkpoint folder."""
+    base = checkpoint_dir(spark).rstrip("/")
+    if not path.startswith(f"{base}/") or ".." in path:
+        raise ValueError(f"{path} is not a scratch path")
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

@@ -163,6 +163,7 @@ def load_csv_to_table(
     budget_check: str = "during",
     partition_by: list[str] | None = None,
     multi_line: bool = True,
+    rejects_to: str | None = None,
 ) -> DataFrame:
     """Bulk-load CSV into the Parquet table at ``target_path``; return it.
 
@@ -173,8 +174,9 @@ def load_csv_to_table(
     The observed count can only over-count (a shuffle-map stage re-run after
     a lost executor adds its rows again), so it never lets a load through
     that is over budget.
-    Rejected records are kept in the table at ``rejects_path(target_path)``
-    (file, record, lines), written only when there are some.
+    Rejected records are kept in the table at ``rejects_to``, by default
+    ``rejects_path(target_path)`` (file, record, lines), written only when
+    there are some.
     ``budget_check="before"``: a counting pass first; nothing is written
     when the budget is exceeded (the warehouse behaviour), at the price of
     parsing the files twice.
@@ -199,7 +201,7 @@ def load_csv_to_table(
     if obs is not None:
         n = int(obs.get.get("bad", 0) or 0)
     if n:
-        load.rejects_table().write.mode("overwrite").parquet(rejects_path(target_path))
+        load.rejects_table().write.mode("overwrite").parquet(rejects_to or rejects_path(target_path))
     if obs is not None:
         if not rejects_allowed(n, max_errors):
             raise RejectBudgetExceeded(f"{n} rejected rows; budget {max_errors} (table written to {target_path})")
