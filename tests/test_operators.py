@@ -168,3 +168,5 @@ def test_conform_to_contract(spark):
     assert quality.conform_to_contract(shuffled).columns == RAW_VACCINATIONS.names
     with pytest.raises(quality.DataQualityError):
         quality.conform_to_contract(raw.drop("version"))
+    with pytest.raises(quality.DataQualityError):
+        quality.conform_to_contract(raw.withColumn("paciente_idade", F.col("paciente_idade").cast("string")))
