@@ -87,6 +87,19 @@ def test_short_items_and_repeated_rows(spark, make_docs):
     assert sorted((r["doc_id"] or -1, r["coverage"]) for r in decontaminate.contaminated(docs, bench).collect()) == [(-1, 1.0), (1, 1.0)]
 
 
+def found_items(spark, make_docs, texts, items):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(make_docs(texts), bench).collect()}
+
+
+def test_one_clashing_slot_drops_only_its_windows(spark, make_docs):
+    item = "The train from Boston leaves at 9 and covers 300 km before it meets Alice near the old stone bridge with 9 bags"
+    sums = "A shop near the river sells 3 green apples to every child and later it also sells 5 yellow pears to them again"
+    texts = [f"so. {item.replace('at 9', 'at 8')}", f"so. {item.replace('at 9', 'at 7').replace('9 bags', '6 bags')}",
+             sums.replace("3", "4").replace("5", "4"), sums.replace("3", "5").replace("5", "3")]
+    assert found_items(spark, make_docs, texts, [item, sums]) == {(0, 0), (1, 0), (2, 1), (3, 1)}
+
+
 # --- 3: near duplicates -----------------------------------------------------
 
 

@@ -1,12 +1,13 @@
 """Benchmark decontamination by template windows.
 
 A text becomes a sequence of words (runs of letters and digits).  A word of digits becomes the placeholder ``#``, a unit
-after a number ``~``, and a capitalised word inside a sentence ``@``; all others are lower-cased.  Windows of WINDOW
-such tokens are hashed and joined to the windows of the benchmark items (items with fewer words are one window).  For
-each place where a document follows an item, the words behind the placeholders have to map one to one onto the item's:
-then the item stands there, as it is or with other numbers and names.  A document is contaminated by an item if such
-places hold COVERAGE of the item's windows.  Only windows with MIN_LITERAL words that are no placeholder count, so
-templates of numbers and names alone match nothing.  DataFrame functions only.
+after a number ``~``, and a capitalised word inside a sentence ``@``; all others are lower-cased.  Windows
+of WINDOW such tokens are hashed and joined to the windows of the benchmark items (items with fewer are one window).
+For each place where a document follows an item, every value of the item has to stand for one value of the document:
+its own where that occurs, else the most frequent.  Windows over any other value are dropped, all others count; two
+values of an item may become one.  A document is contaminated by an item if such places hold COVERAGE of the item's
+windows.  Only windows with MIN_LITERAL words that are no placeholder count, so templates of numbers and names alone
+match nothing.  DataFrame functions only.
 
 The windows of the benchmark are sent to all executors if they are at most BROADCAST_WINDOWS (16 bytes each); beyond
 that the join is a shuffle.
@@ -36,8 +37,6 @@ _OTHER = rf"[^\p{{L}}\p{{Nd}}{_MARK}]+"
 _MARKED = rf"{_MARK}+[\p{{L}}\p{{Nd}}]*"
 _NUMBER = r"\b[0-9]+\b"
 _UNIT = rf"# (?:{'|'.join(UNITS)})\b"
-
-
 def words_of(text: Column) -> Column:
     """The words, blanks between; names carry the mark."""
     clean = F.regexp_replace(whole(text), _MARK, " ")
@@ -49,6 +48,11 @@ def template_of(words: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(F.regexp_replace(words, _MARKED, "@")), _NUMBER, "#"), _UNIT, "# ~")
 
 
+def values_of(words: Column) -> Column:
+    """The same words as they are compared, without marks."""
+    return F.lower(F.regexp_replace(words, _MARK, ""))
+
+
 def _windows(tokens: Column, sizes: list[int]) -> Column:
     """(at, size, h) of every window of the given sizes."""
     def of(n: int) -> Column:
@@ -60,9 +64,9 @@ def _windows(tokens: Column, sizes: list[int]) -> Column:
     return F.concat(*[F.coalesce(x, empty) for x in map(of, sizes)])
 
 
-def _explode_windows(tokens: Column, sizes: list[int]) -> Column:
+def _all_windows(tokens: Column, sizes: list[int]) -> Column:
     # The tokens are bound to a variable: written out at every place of use they would be made anew for every window.
-    return F.explode(F.flatten(F.transform(F.array(tokens), lambda t: _windows(t, sizes))))
+    return F.flatten(F.transform(F.array(tokens), lambda t: _windows(t, sizes)))
 
 
 def _literal(tokens: Column) -> Column:
@@ -72,16 +76,17 @@ def _literal(tokens: Column) -> Column:
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document and item it holds: doc_id, key, item_id, n_windows, n_item_windows, coverage, n_changed.
 
-    ``key`` hashes the id and the text; ``n_changed`` counts the slots whose words differ from the item's."""
+    ``key`` hashes the id and the text; ``n_changed`` counts the different replacements of the item's values."""
     spark = docs.sparkSession
     prepare(spark)
     items = benchmark.select("item_id", words_of(F.col("text")).alias("words")).where("words <> ''").distinct()
-    items = cut(items.select("item_id", F.split("words", " ").alias("words"), F.split(template_of(F.col("words")), " ").alias("tokens")), "items")
+    items = cut(items.select("item_id", F.split(values_of(F.col("words")), " ").alias("words"),
+                             F.split(template_of(F.col("words")), " ").alias("tokens")), "items")
     short = [r["n"] for r in items.where(F.size("tokens") < WINDOW).select(F.size("tokens").alias("n")).distinct().collect()]
     sizes = [WINDOW, *sorted(short)]
     size = F.least(F.size("tokens"), F.lit(WINDOW))
     windows = (
-        items.select("item_id", "tokens", _explode_windows(F.col("tokens"), sizes).alias("w")).where(F.col("w.size") == size)
+        items.select("item_id", "tokens", F.explode(_all_windows(F.col("tokens"), sizes)).alias("w")).where(F.col("w.size") == size)
         .where(_literal(F.slice("tokens", F.col("w.at") + 1, F.col("w.size"))) >= F.least(F.lit(MIN_LITERAL), F.col("w.size")))
         .groupBy("item_id", F.col("w.h").alias("h"), F.col("w.size").alias("size")).agg(F.min("w.at").alias("item_at"))
     )
@@ -91,26 +96,35 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole(F.col("text")).alias("text"))
     rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
-    tokens = rows.select("key", F.split(template_of(words_of(F.col("text"))), " ").alias("tokens"))
+    made = _all_windows(F.split(template_of(words_of(F.col("text"))), " "), sizes)
     hits = cut(
-        tokens.select("key", _explode_windows(F.col("tokens"), sizes).alias("w"))
+        rows.select("key", F.explode(made).alias("w"))
         .select("key", F.col("w.at").alias("at"), F.col("w.size").alias("size"), F.col("w.h").alias("h"))
         .join(sent, ["h", "size"])
-        .groupBy("key", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.collect_set("item_at").alias("at")), "hits")
+        .groupBy("key", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
+        .agg(F.collect_set("item_at").alias("at")), "hits")
 
     # Slots: the item's words behind placeholders under matched windows, beside the document's words at that place.
     needed = rows.join(hits.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
-    placed = hits.join(needed.select("key", "doc_id", F.split(words_of(F.col("text")), " ").alias("doc_words")), "key").join(items, "item_id")
+    doc_words = F.split(values_of(words_of(F.col("text"))), " ")
+    placed = hits.join(needed.select("key", "doc_id", doc_words.alias("doc_words")), "key").join(items, "item_id")
     last = F.least(F.size("tokens"), F.lit(WINDOW)) - 1
     under = F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(a, a + last))))
-    slots = F.array_distinct(F.transform(
+    placed = placed.withColumn("slots", F.transform(
         F.filter(under, lambda i: F.get("tokens", i).isin("#", "~", "@")),
-        lambda i: F.struct(F.get("words", i).alias("x"), F.get("doc_words", i + F.col("shift")).alias("y"))))
-    placed = placed.withColumn("slots", slots)
-    one_to_one = (F.size("slots") == F.size(F.array_distinct("slots.x"))) & (F.size("slots") == F.size(F.array_distinct("slots.y")))
-    changed = F.size(F.filter("slots", lambda s: s["x"] != s["y"]))
+        lambda i: F.struct(i.alias("i"), F.get("words", i).alias("x"), F.get("doc_words", i + F.col("shift")).alias("y"))))
+    # Every value of the item stands for the best of the values that take its place.
+    pairs = F.array_distinct(F.transform("slots", lambda s: F.struct(s["x"].alias("x"), s["y"].alias("y"))))
+    placed = placed.withColumn("pairs", F.transform(pairs, lambda p: F.struct(p["x"].alias("x"), F.struct(
+        (p["x"] == p["y"]).alias("same"),
+        F.size(F.filter("slots", lambda s: (s["x"] == p["x"]) & (s["y"] == p["y"]))).alias("n"), p["y"].alias("y")).alias("rank"))))
+    lost = F.filter("slots", lambda s: F.exists("pairs", lambda p: (p["x"] == s["x"]) & (p["rank"]["y"] == s["y"]) & F.exists(
+        "pairs", lambda q: (q["x"] == p["x"]) & (q["rank"] > p["rank"]))))
+    placed = placed.withColumn("lost", F.transform(lost, lambda s: s["i"]))
+    kept = F.filter("at", lambda a: ~F.exists("lost", lambda i: i.between(a, a + last)))
+    changed = F.size(F.filter("pairs", lambda p: ~p["rank"]["same"]))
     return (
-        placed.where(one_to_one).select("key", "doc_id", "item_id", F.explode("at").alias("at"), changed.alias("changed"))
+        placed.select("key", "doc_id", "item_id", F.explode(kept).alias("at"), changed.alias("changed"))
         .groupBy("key", "doc_id", "item_id").agg(F.count_distinct("at").alias("n_windows"), F.max("changed").cast("long").alias("n_changed"))
         .join(totals, "item_id")
         .where(F.col("n_windows") >= COVERAGE * F.col("n_item_windows"))
