@@ -100,6 +100,13 @@ def test_one_clashing_slot_drops_only_its_windows(spark, make_docs):
     assert found_items(spark, make_docs, texts, [item, sums]) == {(0, 0), (1, 0), (2, 1), (3, 1)}
 
 
+def test_short_items_inside_documents(spark, make_docs):
+    items = ["What is the largest ocean?", "What is the capital of France?", "What is 12 + 34?", "Compute 12 + 34."]
+    other = ["What is 12 + 35?", "He said Pacific is the largest ocean", "Please Compute 34 + 12."]
+    texts = [f"Question: {x} And more" for x in items] + [f"so {x}" for x in items] + other
+    assert found_items(spark, make_docs, texts, items) == {(i + k, i) for i in range(4) for k in (0, 4)}
+
+
 # --- 3: near duplicates -----------------------------------------------------
 
 

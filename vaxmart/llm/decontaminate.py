@@ -7,7 +7,9 @@ For each place where a document follows an item, every value of the item has to
 its own where that occurs, else the most frequent.  Windows over any other value are dropped, all others count; two
 values of an item may become one.  A document is contaminated by an item if such places hold COVERAGE of the item's
 windows.  Only windows with MIN_LITERAL words that are no placeholder count, so templates of numbers and names alone
-match nothing.  DataFrame functions only.
+match nothing; an item without such a window is matched by its values themselves, and all of it has to be there.  An
+item's first word may be marked as a name in the document, where it has to be the same word; that window is counted
+where the others do not hold COVERAGE without it.  DataFrame functions only.
 
 The windows of the benchmark are sent to all executors if they are at most BROADCAST_WINDOWS (16 bytes each); beyond
 that the join is a shuffle.
@@ -53,20 +55,20 @@ def values_of(words: Column) -> Column:
     return F.lower(F.regexp_replace(words, _MARK, ""))
 
 
-def _windows(tokens: Column, sizes: list[int]) -> Column:
+def _windows(tokens: Column, sizes: list[int], seed: list[Column]) -> Column:
     """(at, size, h) of every window of the given sizes."""
     def of(n: int) -> Column:
         return F.when(F.size(tokens) >= n, F.transform(
             F.sequence(F.lit(0), F.size(tokens) - n),
-            lambda i: F.struct(i.alias("at"), F.lit(n).alias("size"), F.xxhash64(F.slice(tokens, i + 1, n)).alias("h"))))
+            lambda i: F.struct(i.alias("at"), F.lit(n).alias("size"), F.xxhash64(*seed, F.slice(tokens, i + 1, n)).alias("h"))))
 
     empty = F.array().cast("array<struct<at:int,size:int,h:bigint>>")
     return F.concat(*[F.coalesce(x, empty) for x in map(of, sizes)])
 
 
-def _all_windows(tokens: Column, sizes: list[int]) -> Column:
+def _all_windows(tokens: Column, sizes: list[int], *seed: Column) -> Column:
     # The tokens are bound to a variable: written out at every place of use they would be made anew for every window.
-    return F.flatten(F.transform(F.array(tokens), lambda t: _windows(t, sizes)))
+    return F.flatten(F.transform(F.array(tokens), lambda t: _windows(t, sizes, list(seed))))
 
 
 def _literal(tokens: Column) -> Column:
@@ -85,29 +87,54 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     short = [r["n"] for r in items.where(F.size("tokens") < WINDOW).select(F.size("tokens").alias("n")).distinct().collect()]
     sizes = [WINDOW, *sorted(short)]
     size = F.least(F.size("tokens"), F.lit(WINDOW))
-    windows = (
-        items.select("item_id", "tokens", F.explode(_all_windows(F.col("tokens"), sizes)).alias("w")).where(F.col("w.size") == size)
-        .where(_literal(F.slice("tokens", F.col("w.at") + 1, F.col("w.size"))) >= F.least(F.lit(MIN_LITERAL), F.col("w.size")))
+    enough = F.least(F.lit(MIN_LITERAL), F.col("w.size"))
+    made = items.select("item_id", "words", "tokens", F.explode(_all_windows(F.col("tokens"), sizes)).alias("w")).where(F.col("w.size") == size)
+    rich = made.where(_literal(F.slice("tokens", F.col("w.at") + 1, F.col("w.size"))) >= enough)
+    # The first word of an item may follow others in a document and look like a name there: a second hash of its window.
+    first = (F.col("w.at") == 0) & ~F.get("tokens", F.lit(0)).isin("#", "~", "@")
+    as_name = F.concat(F.array(F.lit("@")), F.slice("tokens", 2, F.col("w.size") - 1))
+    hashes = F.array(F.struct(F.col("w.h").alias("h"), F.lit(False).alias("named")))
+    named = F.array(F.struct(F.xxhash64(as_name).alias("h"), F.lit(True).alias("named")))
+    typed = (
+        rich.select("item_id", "w", F.explode(F.when(first, F.concat(hashes, named)).otherwise(hashes)).alias("v"))
+        .groupBy("item_id", F.col("v.h").alias("h"), F.col("w.size").alias("size"))
+        .agg(F.min(F.struct(F.col("w.at").alias("at"), F.col("v.named").alias("named"))).alias("m"))
+        .select("item_id", "h", "size", F.col("m.at").alias("item_at"), F.col("m.named").alias("named"), F.lit(False).alias("exact"))
+    )
+    # Items without such a window: their values.
+    poor = items.join(rich.select("item_id").distinct(), "item_id", "left_anti")
+    exact = (
+        poor.select("item_id", size.alias("own"), F.explode(_all_windows(F.col("words"), sizes, F.lit("="))).alias("w")).where("w.size = own")
         .groupBy("item_id", F.col("w.h").alias("h"), F.col("w.size").alias("size")).agg(F.min("w.at").alias("item_at"))
+        .select("item_id", "h", "size", "item_at", F.lit(False).alias("named"), F.lit(True).alias("exact"))
     )
-    windows = cut(windows, "windows")
-    totals = windows.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_item_windows"))
+    windows = cut(typed.unionByName(exact), "windows")
+    totals = windows.where("NOT named").groupBy("item_id").agg(
+        F.count(F.lit(1)).alias("n_item_windows"), F.max(F.when(F.col("exact"), 1.0).otherwise(COVERAGE)).alias("needed"))
     sent = F.broadcast(windows) if windows.count() <= BROADCAST_WINDOWS else windows
+    exact_sizes = [r["size"] for r in windows.where("exact").select("size").distinct().orderBy("size").collect()]
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole(F.col("text")).alias("text"))
     rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
-    made = _all_windows(F.split(template_of(words_of(F.col("text"))), " "), sizes)
+    words = words_of(F.col("text"))
+    made = _all_windows(F.split(template_of(words), " "), sizes)
+    if exact_sizes:
+        made = F.concat(made, _all_windows(F.split(values_of(words), " "), exact_sizes, F.lit("=")))
     hits = cut(
         rows.select("key", F.explode(made).alias("w"))
         .select("key", F.col("w.at").alias("at"), F.col("w.size").alias("size"), F.col("w.h").alias("h"))
         .join(sent, ["h", "size"])
         .groupBy("key", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
-        .agg(F.collect_set("item_at").alias("at")), "hits")
+        .agg(F.collect_set(F.when(~F.col("named"), F.col("item_at"))).alias("plain"), F.max("named").alias("named")), "hits")
 
     # Slots: the item's words behind placeholders under matched windows, beside the document's words at that place.
     needed = rows.join(hits.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
     doc_words = F.split(values_of(words_of(F.col("text"))), " ")
     placed = hits.join(needed.select("key", "doc_id", doc_words.alias("doc_words")), "key").join(items, "item_id")
+    # A first word that is marked as a name has to be the item's.
+    x, y = F.get("words", F.lit(0)), F.get("doc_words", F.col("shift"))
+    same = F.col("named") & (x == y)
+    placed = placed.withColumn("at", F.when(same, F.array_union("plain", F.array(F.lit(0)))).otherwise(F.col("plain")))
     last = F.least(F.size("tokens"), F.lit(WINDOW)) - 1
     under = F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(a, a + last))))
     placed = placed.withColumn("slots", F.transform(
@@ -124,10 +151,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     kept = F.filter("at", lambda a: ~F.exists("lost", lambda i: i.between(a, a + last)))
     changed = F.size(F.filter("pairs", lambda p: ~p["rank"]["same"]))
     return (
-        placed.select("key", "doc_id", "item_id", F.explode(kept).alias("at"), changed.alias("changed"))
-        .groupBy("key", "doc_id", "item_id").agg(F.count_distinct("at").alias("n_windows"), F.max("changed").cast("long").alias("n_changed"))
-        .join(totals, "item_id")
-        .where(F.col("n_windows") >= COVERAGE * F.col("n_item_windows"))
+        placed.select("key", "doc_id", "item_id", "plain", F.explode(kept).alias("at"), changed.alias("changed"))
+        .groupBy("key", "doc_id", "item_id")
+        .agg(F.count_distinct(F.when(F.array_contains("plain", F.col("at")), F.col("at"))).alias("n_plain"),
+             F.count_distinct("at").alias("n_all"), F.max("changed").cast("long").alias("n_changed"))
+        .join(totals, "item_id").withColumn("least", F.col("needed") * F.col("n_item_windows"))
+        .withColumn("n_windows", F.when(F.col("n_plain") >= F.col("least"), F.col("n_plain")).otherwise(F.col("n_all")))
+        .where(F.col("n_windows") >= F.col("least"))
         .select("doc_id", "key", "item_id", "n_windows", "n_item_windows",
                 (F.col("n_windows") / F.col("n_item_windows")).alias("coverage"), "n_changed")
     )
