@@ -107,6 +107,12 @@ def test_short_items_inside_documents(spark, make_docs):
     assert found_items(spark, make_docs, texts, items) == {(i + k, i) for i in range(4) for k in (0, 4)}
 
 
+def test_values_of_another_width(spark, make_docs):
+    item = "A baker sells 40 loaves at 3 dollars each and pays Alice 25 dollars for help in the shop of New York every single day"
+    other = item.replace("40", "1,200").replace("at 3", "at 3.50").replace("Alice", "Mary Ann").replace("New York", "Boston")
+    assert found_items(spark, make_docs, [f"so. {other}", f"so. {item}"], [item]) == {(0, 0), (1, 0)}
+
+
 # --- 3: near duplicates -----------------------------------------------------
 
 

@@ -1,7 +1,8 @@
 """Benchmark decontamination by template windows.
 
-A text becomes a sequence of words (runs of letters and digits).  A word of digits becomes the placeholder ``#``, a unit
-after a number ``~``, and a capitalised word inside a sentence ``@``; all others are lower-cased.  Windows
+A text becomes a sequence of words (runs of letters and digits).  A number (separators and decimals included) becomes
+the placeholder ``#``, a unit after a number ``~``, and a capitalised word inside a sentence, or a run of several
+anywhere, ``@``; all others are lower-cased.  Each placeholder stands for one value, however many words it has.  Windows
 of WINDOW such tokens are hashed and joined to the windows of the benchmark items (items with fewer are one window).
 For each place where a document follows an item, every value of the item has to stand for one value of the document:
 its own where that occurs, else the most frequent.  Windows over any other value are dropped, all others count; two
@@ -39,20 +40,31 @@ _OTHER = rf"[^\p{{L}}\p{{Nd}}{_MARK}]+"
 _MARKED = rf"{_MARK}+[\p{{L}}\p{{Nd}}]*"
 _NUMBER = r"\b[0-9]+\b"
 _UNIT = rf"# (?:{'|'.join(UNITS)})\b"
+# Private characters that hold a value of several words together: point and comma of a number, blank of a run of names.
+_POINT, _COMMA, _JOIN = "\ue001", "\ue002", "\ue003"
+_PRIVATE = f"{_MARK}{_POINT}{_COMMA}{_JOIN}"
+_RUN = r"(?<![\p{L}\p{Nd}])(\p{Lu}\p{Ll}[\p{L}\p{Nd}]*)[ -](?=\p{Lu}\p{Ll})"
+_BETWEEN = rf"[^\p{{L}}\p{{Nd}}{_PRIVATE}]+"
+_VALUE_NAME = rf"{_MARK}+[\p{{L}}\p{{Nd}}{_JOIN}]*|[\p{{L}}\p{{Nd}}]+{_JOIN}[\p{{L}}\p{{Nd}}{_JOIN}]*"
+_VALUE_NUMBER = rf"(?<![^ ])[0-9]+(?:[{_POINT}{_COMMA}][0-9]+)*(?![^ ])"
+
+
 def words_of(text: Column) -> Column:
-    """The words, blanks between; names carry the mark."""
-    clean = F.regexp_replace(whole(text), _MARK, " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(clean, _NAME, f"$1{_MARK}$2"), _OTHER, " "))
+    """The words, blanks between; names carry the mark, and a value of several words is one."""
+    clean = F.regexp_replace(whole(text), f"[{_PRIVATE}]", " ")
+    clean = F.regexp_replace(F.regexp_replace(clean, r"(?<=[0-9])\.(?=[0-9])", _POINT), "(?<=[0-9]),(?=[0-9])", _COMMA)
+    clean = F.regexp_replace(F.regexp_replace(clean, _RUN, f"$1{_JOIN}"), _NAME, f"$1{_MARK}$2")
+    return F.trim(F.regexp_replace(clean, _BETWEEN, " "))
 
 
 def template_of(words: Column) -> Column:
     """The same words with typed placeholders, one for one."""
-    return F.regexp_replace(F.regexp_replace(F.lower(F.regexp_replace(words, _MARKED, "@")), _NUMBER, "#"), _UNIT, "# ~")
+    return F.regexp_replace(F.regexp_replace(F.lower(F.regexp_replace(words, _VALUE_NAME, "@")), _VALUE_NUMBER, "#"), _UNIT, "# ~")
 
 
 def values_of(words: Column) -> Column:
     """The same words as they are compared, without marks."""
-    return F.lower(F.regexp_replace(words, _MARK, ""))
+    return F.lower(F.translate(words, f"{_POINT}{_COMMA}{_JOIN}{_MARK}", ".,\u00a0"))
 
 
 def _windows(tokens: Column, sizes: list[int], seed: list[Column]) -> Column:
@@ -131,9 +143,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     needed = rows.join(hits.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
     doc_words = F.split(values_of(words_of(F.col("text"))), " ")
     placed = hits.join(needed.select("key", "doc_id", doc_words.alias("doc_words")), "key").join(items, "item_id")
-    # A first word that is marked as a name has to be the item's.
+    # A first word that is marked as a name has to be the item's, or a run of names has to end with it.
     x, y = F.get("words", F.lit(0)), F.get("doc_words", F.col("shift"))
-    same = F.col("named") & (x == y)
+    same = F.col("named") & ((x == y) | F.endswith(y, F.concat(F.lit("\u00a0"), x)))
     placed = placed.withColumn("at", F.when(same, F.array_union("plain", F.array(F.lit(0)))).otherwise(F.col("plain")))
     last = F.least(F.size("tokens"), F.lit(WINDOW)) - 1
     under = F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(a, a + last))))
