@@ -348,6 +348,26 @@ def test_chunk_dedup_brute_force(spark, make_docs):
     assert sorted(r["n_removed"] > 0 for r in null_ids) == [False, False, True]
 
 
+def test_passages_of_51_words_are_cut(spark, make_docs):
+    """Passages of running text of sf0.1, each put into two other documents."""
+    texts = [t for _, t in documents("/root/testdata/sf0.1") if len(t.split()) > 300][:600]
+    rng = random.Random(4)
+    pairs, passages = [], []
+    for _ in range(200):
+        a, b, c = (t.split() for t in rng.sample(texts, 3))
+        at = rng.randrange(len(c) - 51)
+        passages.append(" ".join(c[at:at + 51]).encode())
+        pairs.append([" ".join([*t[:k], *c[at:at + 51], *t[k:]]).encode() for t, k in ((a, rng.randrange(300)), (b, rng.randrange(300)))])
+    caught = cut = 0
+    for (x, y), p in zip(pairs, passages):
+        begin, end = y.find(p), y.find(p) + len(p)
+        _, runs = chunk_dedup.repeated_runs(*chunk_dedup.chunks(y), set(chunk_dedup.chunks(x)[1]))
+        n = sum(max(0, min(b, end) - max(a, begin)) for a, b in runs)
+        caught, cut = caught + (n > 0), cut + n
+    print("51 words: caught", caught / len(pairs), "bytes cut", cut / sum(map(len, passages)))
+    assert caught >= 0.98 * len(pairs) and cut >= 0.7 * sum(map(len, passages))
+
+
 # --- 10: piecewise hashes ---------------------------------------------------
 
 

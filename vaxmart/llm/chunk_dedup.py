@@ -1,7 +1,8 @@
 """Substring deduplication by content-defined chunks.
 
-A gear rolling hash over the last 32 bytes ends a chunk wherever it falls below a bound (about every MEAN bytes), so
-boundaries depend on nearby bytes alone and an insertion moves none of the others.  Chunks are compared by a 128-bit
+A gear rolling hash over the last WINDOW bytes makes an end wherever it falls below a bound (about every BETWEEN bytes);
+ends that follow another by less than SMALLEST bytes are left out.  So boundaries depend on nearby bytes alone and an
+insertion moves none of the others.  Chunks are compared by a 128-bit
 digest.  The document with the smallest ``doc_id`` that holds a chunk owns it; a chunk is repeated in every other
 document, and again inside a document that holds it twice.  Runs of repeated chunks that cover MIN_RUN bytes are cut.
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from vaxmart.llm.common import prepare, whole
 
-MEAN, LONGEST, MIN_RUN = 48, 1024, 100
+WINDOW, BETWEEN, SMALLEST, LONGEST, MIN_RUN = 16, 24, 16, 1024, 32
 _GEAR = np.random.default_rng(9).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
@@ -30,10 +31,11 @@ def boundaries(data: bytes) -> np.ndarray:
     """Ends of the chunks."""
     h = _GEAR[np.frombuffer(data, dtype=np.uint8)]
     size = 1
-    while size < 32:
-        h[size:] += h[:-size] << np.uint32(size)
+    while size < WINDOW:
+        h[size:] += h[:-size] << np.uint32(32 // WINDOW * size)
         size *= 2
-    ends = np.flatnonzero(h < (1 << 32) // MEAN) + 1
+    ends = np.flatnonzero(h < (1 << 32) // BETWEEN) + 1
+    ends = ends[np.diff(np.append(-SMALLEST, ends)) >= SMALLEST]
     ends = np.unique(np.append(ends, len(data)))
     long = np.diff(np.append(0, ends))
     if long.max(initial=0) > LONGEST:
