@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import textwrap
 from collections import Counter
 
 import duckdb
@@ -284,6 +285,23 @@ def test_licence_lines_are_found(spark):
     assert want and want <= {r["doc_id"] for r in rows} and all(r["cosine"] >= license_scan.THRESHOLD for r in rows)
 
 
+def test_real_headers_and_licence_files(spark):
+    text = {}
+    for name, t in license_scan.TEXTS:
+        text.setdefault(name, []).append(t)
+    prose = "\n".join(f"word{i} other{i} more{i}" for i in range(200))
+    wrapped = {n: textwrap.fill(license_scan.TEMPLATES[n], 40, initial_indent="# ", subsequent_indent="# ") for n in ("MPL-2.0", "BSD-3-Clause")}
+    header = "\n".join(" * " + x for x in next(t for t in text["GPL-3.0"] if len(t) < 2000).splitlines())
+    files = [("a", f"{prose}\n{wrapped['MPL-2.0']}\n{prose}", "MPL-2.0", "header"),
+             ("b", f"{wrapped['BSD-3-Clause']}\n{prose}", "BSD-3-Clause", "header"),
+             ("c", f"/* tool\n{header}\n */\n{prose}", "GPL-3.0", "header"),
+             ("d/LICENSE", "MIT License\n\nCopyright (c) 2024 Some Body\n\n" + text["MIT"][0], "MIT", "file"), ("d/x.py", prose, "MIT", "inherited"),
+             *((f"{n}/COPYING", max(t, key=len), n, "file") for n, t in text.items()), ("z/x.py", prose, None, None)]
+    rows = spark.createDataFrame([(i, p, t) for i, (p, t, _, _) in enumerate(files)], "doc_id long, path string, text string")
+    got = {r["path"]: (r["licence"], r["how"]) for r in license_scan.scan(rows).collect()}
+    assert got == {p: (n, how) for p, _, n, how in files}
+
+
 # --- 8: stupid backoff ------------------------------------------------------
 
 
