@@ -18,6 +18,7 @@ from vaxmart.llm import (
     sentencepiece,
     suffix_dedup,
     url_filter,
+    whitening,
 )
 from vaxmart.llm.common import table
 
@@ -92,3 +93,8 @@ def op9_chunk_dedup(spark, sf_dir):
 @register
 def op10_fingerprints(spark, sf_dir):
     return ctph.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@register
+def op11_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
