@@ -220,10 +220,29 @@ def test_sentencepiece_parity_and_round_trip(spark, make_docs):
     rows = sentencepiece.encode(make_docs(ODD + extra)).collect()
     assert len(rows) == len(ODD + extra) and all(r["parity"] and r["round_trip"] for r in rows)
     assert rows[0]["n_tokens"] == rows[1]["n_tokens"] == 0
+    import sentencepiece as library
+    whole = library.SentencePieceProcessor(model_file=sentencepiece.MODEL_FILE)
+    ends = ["a ", "a  ", " ", "  ", "a \n", "▁ ▁a ", "a ▁", "\n \n"]
+    for texts in (ODD + extra, ends):
+        found = sorted(sentencepiece.encode(make_docs(texts)).collect(), key=lambda r: r["doc_id"])
+        assert [list(r["token_ids"]) for r in found] == [whole.encode(t or "") for t in texts]
     assert all(r["parity"] for r in sentencepiece.encode(spark.read.parquet(f"{SF_SMALL}/documents.parquet")).collect())
     assert sentencepiece.encode(make_docs([])).count() == 0 and not sentencepiece.encode(make_docs(["a▁b"])).first()["round_trip"]
 
 
+def test_words_only_where_no_piece_crosses_a_blank():
+    model = {"pieces": [("▁a", -1.0, 1), ("▁▁", -1.0, 1)], "prefix": True, "squeeze": False, "charsmap": b""}
+    assert sentencepiece.splits_at_blanks(model)
+    assert not sentencepiece.splits_at_blanks(model | {"pieces": [("a▁b", -1.0, 1)]})
+    assert not any(sentencepiece.splits_at_blanks(model | change) for change in ({"prefix": False}, {"squeeze": True}, {"charsmap": b"x"}))
+    made = []
+    memory = sentencepiece.WordMemory(lambda words: made.extend(words) or [w.upper() for w in words])
+    for _ in range(2):
+        known, split = memory(["ab cd ab", "x" * 60])
+        assert [[known[w] for w in ws] for ws in split] == [["AB", "CD", "AB"], ["X" * 60]]
+    assert sorted(made) == sorted(["ab", "cd", "x" * 60, "x" * 60])
+
+
 def test_unigram_model_is_rebuilt():
     def message(number, data):
         return bytes([number << 3 | 2, len(data)]) + data

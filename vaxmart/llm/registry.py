@@ -17,6 +17,7 @@ from vaxmart.llm import (
     near_dup,
     sentencepiece,
     suffix_dedup,
+    token_alignment,
     url_filter,
     whitening,
 )
@@ -98,3 +99,8 @@ def op10_fingerprints(spark, sf_dir):
 @register
 def op11_whitening(spark, sf_dir):
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op12_token_alignment(spark, sf_dir):
+    return token_alignment.align_documents(table(spark, sf_dir, "documents"))

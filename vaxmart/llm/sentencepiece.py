@@ -5,6 +5,11 @@ the metaspace marker for blanks and the dummy prefix as normaliser, a unigram mo
 model whose merges are ranked by them, and bytes as fallback.  Batches are encoded by the library's threads.  Parity
 with the sentencepiece library is verified on every document.
 
+Where no piece has the marker behind another character, no merge and no piece reaches over the blank in front of a
+word, so a text's ids are those of its words one after the other.  Then each distinct word of a task is encoded, decoded
+and verified once, in batches, and texts are put together from them.  Models with such pieces, or whose normaliser
+squeezes blanks or maps characters, are run on whole texts.
+
 Cases: a null text is empty; an empty text has no tokens and decodes to itself.  A text that holds the metaspace
 character itself decodes to blanks there (round_trip is false).  Columns other than ``doc_id`` and ``text`` are not read.
 """
@@ -13,8 +18,10 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -116,6 +123,50 @@ def _chunks(texts: list[str]) -> Iterator[list[str]]:
         yield held
 
 
+# A word with the blanks and markers in front of it, the last one with those behind it too.
+_WORD = re.compile(rf"[ {MARK}]+[^ {MARK}]*(?:[ {MARK}]+\Z)?")
+WORDS_KEPT, WORD_CHARS = 1 << 18, 48  # words remembered by a task, and the longest of them
+
+
+def splits_at_blanks(model: dict) -> bool:
+    """Whether texts may be encoded word by word."""
+    inner = re.compile(f"[^{MARK}]{MARK}")
+    return (model["prefix"] and not model["squeeze"] and not model["charsmap"]
+            and not any(kind in (_NORMAL, _USER) and inner.search(text) for text, _, kind in model["pieces"]))
+
+
+class WordMemory:
+    """Results of a function of lists of words, made once for each distinct word while it is remembered."""
+
+    def __init__(self, make) -> None:
+        self.make, self.known = make, {}
+
+    def __call__(self, texts: list[str]) -> tuple[dict, list[list[str]]]:
+        """The results by word, and the words of each text (with the blanks in front of them but one)."""
+        split = [[w[1:] for w in _WORD.findall(" " + t)] for t in texts]
+        wanted = set().union(*split)
+        new = [w for w in wanted if w not in self.known]
+        if len(self.known) + len(new) > WORDS_KEPT:
+            self.known, new = {}, list(wanted)
+        made = dict(zip(new, self.make(new))) if new else {}
+        results = self.known | made if any(len(w) > WORD_CHARS for w in made) else None
+        self.known.update((w, v) for w, v in made.items() if len(w) <= WORD_CHARS)
+        return results or self.known, split
+
+
+class ByWord:
+    """Ids of texts, word by word where the model allows it; ``encode`` gives the ids of a list of texts."""
+
+    def __init__(self, model: dict, encode) -> None:
+        self.encode, self.memory = encode, WordMemory(encode) if splits_at_blanks(model) else None
+
+    def __call__(self, texts: list[str]) -> list[list[int]]:
+        if self.memory is None:
+            return self.encode(texts)
+        known, split = self.memory(texts)
+        return [list(chain.from_iterable(map(known.__getitem__, found))) if text else [] for text, found in zip(texts, split)]
+
+
 def encode(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
     """One row per row of ``docs``: doc_id, token_ids, n_tokens, ids_sha256 (of little-endian 32-bit ids),
     decoded_sha256, round_trip (the decoded text is the text), parity (sentencepiece gives the same ids)."""
@@ -133,17 +184,36 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
 
         tokenizer = build(sent.value)
         other = sentencepiece.SentencePieceProcessor(model_proto=sent.value)
+
+        def both(texts: list[str]) -> list[tuple[list[int], str, bool]]:
+            """Ids, decoded text and parity."""
+            encoded = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            decoded = tokenizer.decode_batch(encoded, skip_special_tokens=False)
+            expected = other.encode(texts, num_threads=1)
+            return [(own, plain, own == want) for own, want, plain in zip(encoded, expected, decoded)]
+
+        def blank_kept(words: list[str]) -> list[tuple[list[int], str, bool]]:
+            return [(own, " " + plain, same) for own, plain, same in both(words)]
+
+        memory = WordMemory(blank_kept) if splits_at_blanks(parse(sent.value)) else None
+
+        def texts_encoded(texts: list[str]) -> Iterator[tuple[list[int], str, bool]]:
+            if memory is None:
+                yield from both(texts)
+                return
+            known, split = memory(texts)
+            for text, words in zip(texts, split):
+                found = [known[w] for w in words] if text else []
+                yield (list(chain.from_iterable([f[0] for f in found])), "".join([f[1] for f in found])[1:], all([f[2] for f in found]))
+
         for batch in batches:
             ids, out = [], []
             for texts in _chunks(batch.column(1).to_pylist()):
-                encoded = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-                decoded = tokenizer.decode_batch(encoded, skip_special_tokens=False)
-                expected = other.encode(texts, num_threads=1)
-                for text, own, want, plain in zip(texts, encoded, expected, decoded):
+                for text, (own, plain, same) in zip(texts, texts_encoded(texts)):
                     numbers = np.array(own, dtype=np.int32)
                     ids.append(numbers)
                     out.append((len(own), hashlib.sha256(numbers.tobytes()).hexdigest(),
-                                hashlib.sha256(plain.encode("utf-8")).hexdigest(), plain == text, own == want))
+                                hashlib.sha256(plain.encode("utf-8")).hexdigest(), plain == text, same))
             kinds = (pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.bool_())
             columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds]
             yield pa.RecordBatch.from_arrays(
