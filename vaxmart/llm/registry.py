@@ -11,6 +11,7 @@ from vaxmart.llm import (
     chunk_dedup,
     ctph,
     decontaminate,
+    html_extract,
     language_id,
     license_scan,
     lm_score,
@@ -104,3 +105,8 @@ def op11_whitening(spark, sf_dir):
 @register
 def op12_token_alignment(spark, sf_dir):
     return token_alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
+@register
+def op13_html_extraction(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages"))
