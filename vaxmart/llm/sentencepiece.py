@@ -135,15 +135,20 @@ def splits_at_blanks(model: dict) -> bool:
             and not any(kind in (_NORMAL, _USER) and inner.search(text) for text, _, kind in model["pieces"]))
 
 
+def words_of(text: str) -> list[str]:
+    """The words, with the blanks in front of them but one."""
+    return [w[1:] for w in _WORD.findall(" " + text)]
+
+
 class WordMemory:
     """Results of a function of lists of words, made once for each distinct word while it is remembered."""
 
-    def __init__(self, make) -> None:
-        self.make, self.known = make, {}
+    def __init__(self, make, split=words_of) -> None:
+        self.make, self.split, self.known = make, split, {}
 
     def __call__(self, texts: list[str]) -> tuple[dict, list[list[str]]]:
-        """The results by word, and the words of each text (with the blanks in front of them but one)."""
-        split = [[w[1:] for w in _WORD.findall(" " + t)] for t in texts]
+        """The results by word, and the words of each text."""
+        split = [self.split(t) for t in texts]
         wanted = set().union(*split)
         new = [w for w in wanted if w not in self.known]
         if len(self.known) + len(new) > WORDS_KEPT:
@@ -154,19 +159,6 @@ class WordMemory:
         return results or self.known, split
 
 
-class ByWord:
-    """Ids of texts, word by word where the model allows it; ``encode`` gives the ids of a list of texts."""
-
-    def __init__(self, model: dict, encode) -> None:
-        self.encode, self.memory = encode, WordMemory(encode) if splits_at_blanks(model) else None
-
-    def __call__(self, texts: list[str]) -> list[list[int]]:
-        if self.memory is None:
-            return self.encode(texts)
-        known, split = self.memory(texts)
-        return [list(chain.from_iterable(map(known.__getitem__, found))) if text else [] for text, found in zip(texts, split)]
-
-
 def encode(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
     """One row per row of ``docs``: doc_id, token_ids, n_tokens, ids_sha256 (of little-endian 32-bit ids),
     decoded_sha256, round_trip (the decoded text is the text), parity (sentencepiece gives the same ids)."""

@@ -8,6 +8,9 @@ group incidence matrices of both sides give, by the same product, the shared-gro
 stands for m * n of those, so whole tables hold the two factors (each token's group) and the number of links, and
 ``shared_group_links`` multiplies them out in blocks of rows where the pairs themselves are wanted.
 
+Tokens of both sides end before a blank that follows a word, so a text's alignment is that of its units, one behind the
+other; a task aligns all its distinct new units at once and puts texts together from them.
+
 The count of an id pair is the number of end links of the whole corpus that hold it.  Documents pass on their distinct
 pairs with multiplicities, which are added up by pair, and the sums are joined back: as a broadcast while there are at
 most BROADCAST_PAIRS pairs (24 bytes each), else by a shuffle in which the pairs with more than one in HOT_SHARE of all
@@ -23,7 +26,9 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -144,6 +149,25 @@ def piece_tokens(model: dict) -> list[bytes]:
             for text, _, kind in model["pieces"]]
 
 
+# A blank and what follows, up to a blank behind a character that is neither white space nor a marker.
+_UNIT = re.compile(rf" (?:[^ ]+|(?<=[\s{pieces.MARK}]) )*(?: +\Z)?")
+_SEPARATORS = re.compile("[\x1c-\x1f]")  # white space to Python alone
+
+
+def units_of(text: str) -> list[str]:
+    """Parts of a blank and the text at whose ends tokens of both sides end: neither side has tokens that reach from a
+    character over a blank behind it (see ``sentencepiece.splits_at_blanks``; side A is cut there by its pattern)."""
+    return [" " + text] if _SEPARATORS.search(text) else _UNIT.findall(" " + text)
+
+
+class Unit(NamedTuple):
+    """Numbers (n_a, n_b, n_groups, n_links, n_overlaps, n_shared), ids by group, and linked id pairs of a part of a text."""
+
+    numbers: tuple[int, ...]
+    groups: str
+    pairs: list[int]
+
+
 class Coder:
     """Both tokenizers in a Python worker."""
 
@@ -152,35 +176,81 @@ class Coder:
         import sentencepiece
         from tokenizers import Tokenizer
 
+        vocabulary, model = json.loads(byte_level), pieces.parse(piece_model)
         self.first = Tokenizer.from_str(byte_level.decode("utf-8"))
         self.first.encode_special_tokens = True
-        model = pieces.parse(piece_model)
-        library = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
-        self.second = pieces.ByWord(model, lambda texts: library.encode(texts, num_threads=1))
-        self.bytes = byte_level_tokens(json.loads(byte_level)), piece_tokens(model)
+        self.second = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
+        cut_at_blanks = (vocabulary.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and pieces.splits_at_blanks(model)
+        self.memory = pieces.WordMemory(self.measure, units_of if cut_at_blanks else lambda text: [" " + text])
+        self.bytes = byte_level_tokens(vocabulary), piece_tokens(model)
         self.sizes = tuple(np.array([len(t) for t in side], dtype=np.int64) for side in self.bytes)
         self.width = max(map(len, self.bytes))
         self.names = [f"{i}{mark}" for mark in ",|;" for i in range(self.width)]
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of both sides; none where the text is empty or not given back."""
-        ids_a = [e.ids for e in self.first.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        for text, a, b in zip(texts, ids_a, self.second(texts)):
-            data = (" " + text).encode("utf-8")
-            whole_text = text and all(b"".join(map(side.__getitem__, ids)) == data for side, ids in zip(self.bytes, (a, b)))
-            yield (a, b) if whole_text else ([], [])
-
-    def align(self, a: list[int], b: list[int]) -> Alignment:
-        return align(*(np.cumsum(size[ids]) for size, ids in zip(self.sizes, (np.array(a, np.int64), np.array(b, np.int64)))))
-
-    def groups(self, a: list[int], b: list[int], found: Alignment) -> str:
-        """Ids by group: ``a1,a2|b1;a3|b2,b3``."""
-        place = np.concatenate([2 * found.group_a, 2 * found.group_b + 1])
+    def encode(self, units: list[str]) -> list[tuple[list[int], list[int]] | None]:
+        """Ids of both sides for texts that begin with a blank; None where they are not given back."""
+        ids_a = [e.ids for e in self.first.encode_batch_fast(units, add_special_tokens=False)]
+        ids_b = self.second.encode([u[1:] for u in units], num_threads=1)
+        data = [u.encode("utf-8") for u in units]
+        sizes = np.fromiter(map(len, data), np.int64, len(data))
+        if all(self._same(side, ids, data, sizes) for side, ids in enumerate((ids_a, ids_b))):
+            return list(zip(ids_a, ids_b))
+        return [(a, b) if all(b"".join(map(side.__getitem__, ids)) == d for side, ids in zip(self.bytes, (a, b))) else None
+                for d, a, b in zip(data, ids_a, ids_b)]
+
+    def _same(self, side: int, ids: list[list[int]], data: list[bytes], sizes: np.ndarray) -> bool:
+        """Whether all texts are given back: the bytes of all together, and the length of each."""
+        flat = list(chain.from_iterable(ids))
+        if b"".join(map(self.bytes[side].__getitem__, flat)) != b"".join(data):
+            return False
+        before = np.concatenate([[0], np.cumsum(self.sizes[side][np.array(flat, np.int64)])])
+        return bool((np.diff(before[np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int64)]) == sizes).all())
+
+    def align(self, a: np.ndarray, b: np.ndarray) -> Alignment:
+        return align(*(np.cumsum(size[ids]) for size, ids in zip(self.sizes, (a, b))))
+
+    def measure(self, units: list[str]) -> list[Unit | None]:
+        """One alignment of all units, one behind the other; what each unit has of it."""
+        coded = self.encode(units)
+        held = [c for c in coded if c is not None]
+        a, b = (np.fromiter(chain.from_iterable(c[i] for c in held), np.int64) for i in (0, 1))
+        x = self.align(a, b)
+        last_a, last_b = (np.cumsum([len(c[i]) for c in held]) for i in (0, 1))
+        # A unit's last token ends a group; links are in the order of the groups, one for each.
+        groups = np.concatenate([[0], x.group_a[last_a - 1] + 1]) if held else np.array([0])
+        overlaps = np.concatenate([[0], np.searchsorted(x.a, last_a)])
+        in_a, in_b = (np.bincount(g, minlength=x.n_groups) for g in (x.group_a, x.group_b))
+        shared = np.concatenate([[0], np.cumsum(in_a * in_b)])
+        pairs = ((a[x.a[x.ends]] << 32) | b[x.b[x.ends]]).tolist()
+        place = np.concatenate([2 * x.group_a, 2 * x.group_b + 1])
         order = np.argsort(place, kind="stable")
-        place, ids = place[order], np.concatenate([a, b]).astype(np.int64)[order]
-        last = np.append(place[1:] != place[:-1], True)
-        mark = np.where(last, 1 + place % 2, 0)
-        return "".join(map(self.names.__getitem__, (mark * self.width + ids).tolist()))[:-1]
+        place, ids = place[order], np.concatenate([a, b])[order]
+        mark = np.where(np.append(place[1:] != place[:-1], True)[:len(place)], 1 + place % 2, 0)
+        names = list(map(self.names.__getitem__, (mark * self.width + ids).tolist()))
+        out: list[Unit | None] = []
+        k = at = 0
+        for c in coded:
+            if c is None:
+                out.append(None)
+                continue
+            g, h = int(groups[k]), int(groups[k + 1])
+            n = len(c[0]) + len(c[1])
+            out.append(Unit((len(c[0]), len(c[1]), h - g, h - g, int(overlaps[k + 1] - overlaps[k]), int(shared[h] - shared[g])),
+                            "".join(names[at:at + n])[:-1], pairs[g:h]))
+            k, at = k + 1, at + n
+        return out
+
+    def digest(self, texts: list[str]) -> Iterator[tuple[tuple, str, np.ndarray, np.ndarray]]:
+        """Numbers, digest of the groups, distinct linked id pairs (a << 32 | b) and how often each occurs."""
+        known, split = self.memory(texts)
+        for text, units in zip(texts, split):
+            found = [known[u] for u in units] if text else []
+            if not found or None in found:
+                yield (0,) * len(_COUNTED), "", np.array([], np.int64), np.array([], np.int64)
+                continue
+            pairs, times = np.unique(np.fromiter(chain.from_iterable([u.pairs for u in found]), np.int64), return_counts=True)
+            groups = hashlib.sha256(";".join([u.groups for u in found]).encode()).hexdigest()
+            yield tuple(map(sum, zip(*[u.numbers for u in found]))), groups, pairs, times
 
 
 def _read(path: str) -> bytes:
@@ -210,8 +280,9 @@ def token_links(docs: DataFrame, files: tuple[str, str] = (BYTE_LEVEL_FILE, PIEC
         for batch in batches:
             out = []
             for texts in pieces._chunks(batch.column(1).to_pylist()):
-                for a, b in coder.encode(texts):
-                    x = coder.align(a, b)
+                for text, ids in zip(texts, coder.encode([" " + t for t in texts])):
+                    a, b = ids if text and ids else ([], [])
+                    x = coder.align(np.array(a, np.int64), np.array(b, np.int64))
                     together = np.isin(np.arange(len(x.a)), x.ends)
                     overlaps = [{"a": int(i), "b": int(j), "n_bytes": int(n), "ends_together": bool(t)}
                                 for i, j, n, t in zip(x.a, x.b, x.shared, together)]
@@ -239,19 +310,10 @@ def _digest(docs: DataFrame, files: tuple[str, str]) -> DataFrame:
         for batch in batches:
             out, pairs, times = [], [], []
             for texts in pieces._chunks(batch.column(1).to_pylist()):
-                for a, b in coder.encode(texts):
-                    if not a:
-                        out.append((0,) * len(_COUNTED) + ("",))
-                        pairs.append(np.array([], np.int64))
-                        times.append(np.array([], np.int64))
-                        continue
-                    x = coder.align(a, b)
-                    key = (np.array(a, np.int64)[x.a[x.ends]] << 32) | np.array(b, np.int64)[x.b[x.ends]]
-                    distinct, n = np.unique(key, return_counts=True)
+                for numbers, groups, distinct, n in coder.digest(texts):
+                    out.append((*numbers, groups))
                     pairs.append(distinct)
                     times.append(n)
-                    out.append((len(a), len(b), x.n_groups, len(x.ends), len(x.a), n_shared_group_links(x),
-                                hashlib.sha256(coder.groups(a, b, x).encode()).hexdigest()))
             kinds = [pa.int64()] * len(_COUNTED) + [pa.string()]
             columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds]
             ends = pa.array(np.concatenate([[0], np.cumsum([len(p) for p in pairs])]).astype(np.int32))
