@@ -143,114 +143,127 @@ def byte_level_tokens(vocabulary: dict) -> list[bytes]:
     return out
 
 
-def piece_tokens(model: dict) -> list[bytes]:
-    """Bytes of each piece: the marker is a blank, <0xHH> the byte HH."""
-    return [bytes([int(text[3:5], 16)]) if kind == pieces._BYTE else text.replace(pieces.MARK, " ").encode("utf-8")
-            for text, _, kind in model["pieces"]]
-
-
 # A blank and what follows, up to a blank behind a character that is neither white space nor a marker.
 _UNIT = re.compile(rf" (?:[^ ]+|(?<=[\s{pieces.MARK}]) )*(?: +\Z)?")
+_BLANK_INSIDE = re.compile(rf"[\s{pieces.MARK}] ")
 _SEPARATORS = re.compile("[\x1c-\x1f]")  # white space to Python alone
 
 
 def units_of(text: str) -> list[str]:
     """Parts of a blank and the text at whose ends tokens of both sides end: neither side has tokens that reach from a
     character over a blank behind it (see ``sentencepiece.splits_at_blanks``; side A is cut there by its pattern)."""
-    return [" " + text] if _SEPARATORS.search(text) else _UNIT.findall(" " + text)
+    if _SEPARATORS.search(text):
+        return [" " + text]
+    if text[:1] == " " or text[-1:] == " " or _BLANK_INSIDE.search(text):
+        return _UNIT.findall(" " + text)
+    return [" " + w for w in text.split(" ")]
+
+
+#: What is kept of a unit: its numbers and its linked id pairs as 64-bit integers, and its ids by group.
+Unit = tuple[bytes, str, bytes]
+_COUNTED = ("n_a", "n_b", "n_groups", "n_links", "n_overlaps", "n_shared")
+
 
+class Prepared(NamedTuple):
+    """What the tasks need of both tokenizers, made once: their files, the bytes of their tokens, whether units may be cut."""
 
-class Unit(NamedTuple):
-    """Numbers (n_a, n_b, n_groups, n_links, n_overlaps, n_shared), ids by group, and linked id pairs of a part of a text."""
+    byte_level: str
+    piece_model: bytes
+    bytes: tuple[list[bytes], list[bytes]]
+    by_unit: bool
 
-    numbers: tuple[int, ...]
-    groups: str
-    pairs: list[int]
+
+def prepared(files: tuple[str, str]) -> Prepared:
+    byte_level, piece_model = map(_read, files)
+    vocabulary, model = json.loads(byte_level), pieces.parse(piece_model)
+    cut_at_blanks = (vocabulary.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and pieces.splits_at_blanks(model)
+    return Prepared(byte_level.decode("utf-8"), piece_model, (byte_level_tokens(vocabulary), pieces.piece_bytes(model)), cut_at_blanks)
 
 
 class Coder:
     """Both tokenizers in a Python worker."""
 
-    def __init__(self, byte_level: bytes, piece_model: bytes) -> None:
+    def __init__(self, sent: Prepared) -> None:
         os.environ.setdefault("RAYON_NUM_THREADS", str(pieces.THREADS))
         import sentencepiece
         from tokenizers import Tokenizer
 
-        vocabulary, model = json.loads(byte_level), pieces.parse(piece_model)
-        self.first = Tokenizer.from_str(byte_level.decode("utf-8"))
+        self.first = Tokenizer.from_str(sent.byte_level)
         self.first.encode_special_tokens = True
-        self.second = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
-        cut_at_blanks = (vocabulary.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and pieces.splits_at_blanks(model)
-        self.memory = pieces.WordMemory(self.measure, units_of if cut_at_blanks else lambda text: [" " + text])
-        self.bytes = byte_level_tokens(vocabulary), piece_tokens(model)
+        self.second = sentencepiece.SentencePieceProcessor(model_proto=sent.piece_model)
+        self.bytes, self.by_unit = sent.bytes, sent.by_unit
+        self.memory = pieces.WordMemory(self.measure, units_of if self.by_unit else lambda text: [" " + text])
         self.sizes = tuple(np.array([len(t) for t in side], dtype=np.int64) for side in self.bytes)
         self.width = max(map(len, self.bytes))
         self.names = [f"{i}{mark}" for mark in ",|;" for i in range(self.width)]
 
-    def encode(self, units: list[str]) -> list[tuple[list[int], list[int]] | None]:
+    def _sides(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
         """Ids of both sides for texts that begin with a blank; None where they are not given back."""
-        ids_a = [e.ids for e in self.first.encode_batch_fast(units, add_special_tokens=False)]
-        ids_b = self.second.encode([u[1:] for u in units], num_threads=1)
-        data = [u.encode("utf-8") for u in units]
-        sizes = np.fromiter(map(len, data), np.int64, len(data))
-        if all(self._same(side, ids, data, sizes) for side, ids in enumerate((ids_a, ids_b))):
-            return list(zip(ids_a, ids_b))
-        return [(a, b) if all(b"".join(map(side.__getitem__, ids)) == d for side, ids in zip(self.bytes, (a, b))) else None
-                for d, a, b in zip(data, ids_a, ids_b)]
-
-    def _same(self, side: int, ids: list[list[int]], data: list[bytes], sizes: np.ndarray) -> bool:
-        """Whether all texts are given back: the bytes of all together, and the length of each."""
-        flat = list(chain.from_iterable(ids))
-        if b"".join(map(self.bytes[side].__getitem__, flat)) != b"".join(data):
-            return False
-        before = np.concatenate([[0], np.cumsum(self.sizes[side][np.array(flat, np.int64)])])
-        return bool((np.diff(before[np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int64)]) == sizes).all())
+        ids_a = [e.ids for e in self.first.encode_batch_fast(texts, add_special_tokens=False)]
+        ids_b = self.second.encode([t[1:] for t in texts], num_threads=1)
+        return [(a, b) if all(b"".join(map(side.__getitem__, ids)) == t.encode("utf-8") for side, ids in zip(self.bytes, (a, b))) else None
+                for t, a, b in zip(texts, ids_a, ids_b)]
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of both sides for each text, or none; each text is encoded by itself."""
+        return [c and tuple(np.array(ids, dtype=np.int64) for ids in c) for c in self._sides([" " + t for t in texts])]
+
+    def _parts(self, lines: list[list[str]]) -> Iterator[tuple[list[str], list[np.ndarray], list[np.ndarray]]]:
+        """(units, ids of both sides, where each unit's ids end) of the lines; units that are not given back are left out."""
+        again: list[list[str]] = []
+        for line, coded in zip(lines, self._sides(["".join(line) for line in lines])):
+            ids = coded and [np.array(c, dtype=np.int64) for c in coded]
+            ends = ids and [pieces.stops(c, size, line) for c, size in zip(ids, self.sizes)]
+            if ids and all(e is not None for e in ends):
+                yield line, ids, ends
+            elif len(line) > 1:
+                again += [[u] for u in line]
+        if again:
+            yield from self._parts(again)
 
     def align(self, a: np.ndarray, b: np.ndarray) -> Alignment:
         return align(*(np.cumsum(size[ids]) for size, ids in zip(self.sizes, (a, b))))
 
     def measure(self, units: list[str]) -> list[Unit | None]:
         """One alignment of all units, one behind the other; what each unit has of it."""
-        coded = self.encode(units)
-        held = [c for c in coded if c is not None]
-        a, b = (np.fromiter(chain.from_iterable(c[i] for c in held), np.int64) for i in (0, 1))
+        parts = list(self._parts(list(pieces.lines_of(units)) if self.by_unit else [[u] for u in units]))
+        if not parts:
+            return [None] * len(units)
+        a, b = (np.concatenate([ids[side] for _, ids, _ in parts]) for side in (0, 1))
+        before = [np.cumsum([0, *(len(ids[side]) for _, ids, _ in parts[:-1])]) for side in (0, 1)]
+        last_a, last_b = (np.concatenate([ends[side] + n for (_, _, ends), n in zip(parts, before[side])]) for side in (0, 1))
         x = self.align(a, b)
-        last_a, last_b = (np.cumsum([len(c[i]) for c in held]) for i in (0, 1))
         # A unit's last token ends a group; links are in the order of the groups, one for each.
-        groups = np.concatenate([[0], x.group_a[last_a - 1] + 1]) if held else np.array([0])
-        overlaps = np.concatenate([[0], np.searchsorted(x.a, last_a)])
+        groups = np.concatenate([[0], x.group_a[last_a - 1] + 1])
+        overlaps = np.searchsorted(x.a, np.concatenate([[0], last_a]))
         in_a, in_b = (np.bincount(g, minlength=x.n_groups) for g in (x.group_a, x.group_b))
-        shared = np.concatenate([[0], np.cumsum(in_a * in_b)])
-        pairs = ((a[x.a[x.ends]] << 32) | b[x.b[x.ends]]).tolist()
+        shared = np.concatenate([[0], np.cumsum(in_a * in_b)])[groups]
+        first_a, first_b = np.concatenate([[0], last_a]), np.concatenate([[0], last_b])
+        pairs = ((a[x.a[x.ends]] << 32) | b[x.b[x.ends]]).tobytes()
         place = np.concatenate([2 * x.group_a, 2 * x.group_b + 1])
         order = np.argsort(place, kind="stable")
         place, ids = place[order], np.concatenate([a, b])[order]
-        mark = np.where(np.append(place[1:] != place[:-1], True)[:len(place)], 1 + place % 2, 0)
+        mark = np.where(np.append(place[1:] != place[:-1], True), 1 + place % 2, 0)
         names = list(map(self.names.__getitem__, (mark * self.width + ids).tolist()))
-        out: list[Unit | None] = []
-        k = at = 0
-        for c in coded:
-            if c is None:
-                out.append(None)
-                continue
-            g, h = int(groups[k]), int(groups[k + 1])
-            n = len(c[0]) + len(c[1])
-            out.append(Unit((len(c[0]), len(c[1]), h - g, h - g, int(overlaps[k + 1] - overlaps[k]), int(shared[h] - shared[g])),
-                            "".join(names[at:at + n])[:-1], pairs[g:h]))
-            k, at = k + 1, at + n
-        return out
-
-    def digest(self, texts: list[str]) -> Iterator[tuple[tuple, str, np.ndarray, np.ndarray]]:
+        n_groups = np.diff(groups)
+        numbers = np.stack([np.diff(first_a), np.diff(first_b), n_groups, n_groups, np.diff(overlaps), np.diff(shared)], axis=1).tobytes()
+        at, g, wide = (first_a + first_b).tolist(), (8 * groups).tolist(), 8 * len(_COUNTED)
+        out = {u: (numbers[k:k + wide], "".join(names[i:j])[:-1], pairs[m:n]) for u, k, i, j, m, n in zip(
+            chain.from_iterable(line for line, _, _ in parts), range(0, len(numbers), wide), at, at[1:], g, g[1:])}
+        return [out.get(u) for u in units]
+
+    def digest(self, texts: list[str]) -> Iterator[tuple[list[int], str, np.ndarray, np.ndarray]]:
         """Numbers, digest of the groups, distinct linked id pairs (a << 32 | b) and how often each occurs."""
         known, split = self.memory(texts)
         for text, units in zip(texts, split):
-            found = [known[u] for u in units] if text else []
+            found = list(map(known.__getitem__, units)) if text else []
             if not found or None in found:
-                yield (0,) * len(_COUNTED), "", np.array([], np.int64), np.array([], np.int64)
+                yield [0] * len(_COUNTED), "", np.array([], np.int64), np.array([], np.int64)
                 continue
-            pairs, times = np.unique(np.fromiter(chain.from_iterable([u.pairs for u in found]), np.int64), return_counts=True)
-            groups = hashlib.sha256(";".join([u.groups for u in found]).encode()).hexdigest()
-            yield tuple(map(sum, zip(*[u.numbers for u in found]))), groups, pairs, times
+            numbers, groups, pairs = zip(*found)
+            distinct, times = np.unique(np.frombuffer(b"".join(pairs), np.int64), return_counts=True)
+            total = np.frombuffer(b"".join(numbers), np.int64).reshape(-1, len(_COUNTED)).sum(axis=0).tolist()
+            yield total, hashlib.sha256(";".join(groups).encode()).hexdigest(), distinct, times
 
 
 def _read(path: str) -> bytes:
@@ -262,7 +275,7 @@ def _read(path: str) -> bytes:
 
 
 def _send(spark: SparkSession, files: tuple[str, str]):
-    return spark.sparkContext.broadcast(tuple(map(_read, files)))
+    return spark.sparkContext.broadcast(tuple(prepared(files)))
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -276,17 +289,17 @@ def token_links(docs: DataFrame, files: tuple[str, str] = (BYTE_LEVEL_FILE, PIEC
     sent = _send(docs.sparkSession, files)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(*sent.value)
+        coder = Coder(Prepared(*sent.value))
         for batch in batches:
             out = []
             for texts in pieces._chunks(batch.column(1).to_pylist()):
-                for text, ids in zip(texts, coder.encode([" " + t for t in texts])):
-                    a, b = ids if text and ids else ([], [])
-                    x = coder.align(np.array(a, np.int64), np.array(b, np.int64))
+                for text, ids in zip(texts, coder.encode(texts)):
+                    a, b = ids if text and ids else (np.array([], np.int64),) * 2
+                    x = coder.align(a, b)
                     together = np.isin(np.arange(len(x.a)), x.ends)
                     overlaps = [{"a": int(i), "b": int(j), "n_bytes": int(n), "ends_together": bool(t)}
                                 for i, j, n, t in zip(x.a, x.b, x.shared, together)]
-                    out.append((a, b, overlaps, x.group_a.tolist(), x.group_b.tolist()))
+                    out.append((a.tolist(), b.tolist(), overlaps, x.group_a.tolist(), x.group_b.tolist()))
             ints = pa.list_(pa.int32())
             link = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("n_bytes", pa.int32()), ("ends_together", pa.bool_())]))
             kinds = (ints, ints, link, ints, ints)
@@ -298,15 +311,12 @@ def token_links(docs: DataFrame, files: tuple[str, str] = (BYTE_LEVEL_FILE, PIEC
                                        f"ends_together:boolean>>, a_groups {ints}, b_groups {ints}")
 
 
-_COUNTED = ("n_a", "n_b", "n_groups", "n_links", "n_overlaps", "n_shared")
-
-
 def _digest(docs: DataFrame, files: tuple[str, str]) -> DataFrame:
     """One row per document: sizes, the digest of the groups, distinct linked id pairs (a << 32 | b) and how often each occurs."""
     sent = _send(docs.sparkSession, files)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(*sent.value)
+        coder = Coder(Prepared(*sent.value))
         for batch in batches:
             out, pairs, times = [], [], []
             for texts in pieces._chunks(batch.column(1).to_pylist()):
