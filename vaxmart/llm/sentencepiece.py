@@ -7,8 +7,8 @@ with the sentencepiece library is verified on every document.
 
 Where no piece has the marker behind another character, no merge and no piece reaches over the blank in front of a
 word, so a text's ids are those of its words one after the other.  Then each distinct word of a task is encoded, decoded
-and verified once, in batches, and texts are put together from them.  Models with such pieces, or whose normaliser
-squeezes blanks or maps characters, are run on whole texts.
+and verified once, many new ones as one text, and texts are put together from them.  Models with such pieces, or whose
+normaliser squeezes blanks or maps characters, are run on whole texts.
 
 Cases: a null text is empty; an empty text has no tokens and decodes to itself.  A text that holds the metaspace
 character itself decodes to blanks there (round_trip is false).  Columns other than ``doc_id`` and ``text`` are not read.
@@ -21,7 +21,6 @@ import os
 import re
 import struct
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -125,7 +124,8 @@ def _chunks(texts: list[str]) -> Iterator[list[str]]:
 
 # A word with the blanks and markers in front of it, the last one with those behind it too.
 _WORD = re.compile(rf"[ {MARK}]+[^ {MARK}]*(?:[ {MARK}]+\Z)?")
-WORDS_KEPT, WORD_CHARS = 1 << 18, 48  # words remembered by a task, and the longest of them
+WORDS_KEPT, WORD_CHARS = 1 << 19, 48  # words remembered by a task, and the longest of them
+LINE_CHARS = 1 << 14  # new words encoded as one text
 
 
 def splits_at_blanks(model: dict) -> bool:
@@ -135,9 +135,40 @@ def splits_at_blanks(model: dict) -> bool:
             and not any(kind in (_NORMAL, _USER) and inner.search(text) for text, _, kind in model["pieces"]))
 
 
+def piece_bytes(model: dict) -> list[bytes]:
+    """Bytes of each piece: the marker is a blank, <0xHH> the byte HH."""
+    return [bytes([int(text[3:5], 16)]) if kind == _BYTE else text.replace(MARK, " ").encode("utf-8") for text, _, kind in model["pieces"]]
+
+
 def words_of(text: str) -> list[str]:
-    """The words, with the blanks in front of them but one."""
-    return [w[1:] for w in _WORD.findall(" " + text)]
+    """The words, each with the blanks in front of it; the text has one blank more in front."""
+    if "  " in text or MARK in text or text[:1] == " " or text[-1:] == " ":
+        return _WORD.findall(" " + text)
+    return [" " + w for w in text.split(" ")]
+
+
+def lines_of(words: list[str]) -> Iterator[list[str]]:
+    """Words whose ids are those of their concatenation, some at a time; the others (blanks at the end, markers) one by one."""
+    line, size = [], 0
+    for w in words:
+        if MARK in w or w[-1:] == " ":
+            yield [w]
+            continue
+        if size + len(w) > LINE_CHARS and line:
+            yield line
+            line, size = [], 0
+        line.append(w)
+        size += len(w)
+    if line:
+        yield line
+
+
+def stops(ids: list[int], sizes: np.ndarray, words: list[str]) -> np.ndarray | None:
+    """Where each word's ids end in those of their concatenation; None if an id reaches over an end."""
+    ends = np.cumsum(sizes[np.array(ids, dtype=np.int64)])
+    want = np.cumsum([len(w.encode("utf-8")) for w in words])
+    at = np.searchsorted(ends, want)
+    return at + 1 if len(ends) and ends[-1] == want[-1] and (ends[at] == want).all() else None
 
 
 class WordMemory:
@@ -145,18 +176,21 @@ class WordMemory:
 
     def __init__(self, make, split=words_of) -> None:
         self.make, self.split, self.known = make, split, {}
+        self.long: list[str] = []
 
     def __call__(self, texts: list[str]) -> tuple[dict, list[list[str]]]:
         """The results by word, and the words of each text."""
+        for w in self.long:  # used once, not remembered
+            del self.known[w]
         split = [self.split(t) for t in texts]
-        wanted = set().union(*split)
-        new = [w for w in wanted if w not in self.known]
+        new = set().union(*split).difference(self.known)
         if len(self.known) + len(new) > WORDS_KEPT:
-            self.known, new = {}, list(wanted)
-        made = dict(zip(new, self.make(new))) if new else {}
-        results = self.known | made if any(len(w) > WORD_CHARS for w in made) else None
-        self.known.update((w, v) for w, v in made.items() if len(w) <= WORD_CHARS)
-        return results or self.known, split
+            self.known, new = {}, set().union(*split)
+        words = list(new)
+        if words:
+            self.known.update(zip(words, self.make(words)))
+        self.long = [w for w in words if len(w) > WORD_CHARS]
+        return self.known, split
 
 
 def encode(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
@@ -168,14 +202,21 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
         data = f.read(MODEL_LIMIT + 1)
     if len(data) > MODEL_LIMIT:
         raise ValueError("the model file is too large to send")
-    sent = spark.sparkContext.broadcast(data)
+    model = parse(data)
+    # What the tasks need, made once: the tokenizer in the library's own form, the model, and the bytes of each piece.
+    sent = spark.sparkContext.broadcast(
+        (build(data).to_str(), data, [len(p) for p in piece_bytes(model)], splits_at_blanks(model)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
         import sentencepiece
+        from tokenizers import Tokenizer
 
-        tokenizer = build(sent.value)
-        other = sentencepiece.SentencePieceProcessor(model_proto=sent.value)
+        written, data, lengths, by_word = sent.value
+        tokenizer = Tokenizer.from_str(written)
+        other = sentencepiece.SentencePieceProcessor(model_proto=data)
+        sizes = np.array(lengths, dtype=np.int64)
+        odd: dict[str, tuple[str, bool]] = {}  # decoded text and parity of the words that are not given back or differ
 
         def both(texts: list[str]) -> list[tuple[list[int], str, bool]]:
             """Ids, decoded text and parity."""
@@ -184,27 +225,45 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
             expected = other.encode(texts, num_threads=1)
             return [(own, plain, own == want) for own, want, plain in zip(encoded, expected, decoded)]
 
-        def blank_kept(words: list[str]) -> list[tuple[list[int], str, bool]]:
-            return [(own, " " + plain, same) for own, plain, same in both(words)]
-
-        memory = WordMemory(blank_kept) if splits_at_blanks(parse(sent.value)) else None
-
-        def texts_encoded(texts: list[str]) -> Iterator[tuple[list[int], str, bool]]:
+        def ids_of_words(words: list[str]) -> list[bytes]:
+            lines = list(lines_of(words))
+            found: dict[str, bytes] = {}
+            for line, (own, plain, same) in zip(lines, both(["".join(line)[1:] for line in lines])):
+                at = stops(own, sizes, line) if same and plain == "".join(line)[1:] else None
+                if at is not None:
+                    flat = np.array(own, dtype=np.int32).tobytes()
+                    found.update((w, flat[4 * i:4 * j]) for w, i, j in zip(line, [0, *at.tolist()], at.tolist()))
+                    continue
+                for w, (ids, text, equal) in zip(line, both([w[1:] for w in line])):
+                    found[w] = np.array(ids, dtype=np.int32).tobytes()
+                    if " " + text != w or not equal:
+                        odd[w] = text, equal
+            return [found[w] for w in words]
+
+        memory = WordMemory(ids_of_words) if by_word else None
+
+        def texts_encoded(texts: list[str]) -> Iterator[tuple[bytes, str, bool]]:
+            """Ids as 32-bit numbers, decoded text and parity."""
             if memory is None:
-                yield from both(texts)
+                for own, plain, same in both(texts):
+                    yield np.array(own, dtype=np.int32).tobytes(), plain, same
                 return
             known, split = memory(texts)
             for text, words in zip(texts, split):
-                found = [known[w] for w in words] if text else []
-                yield (list(chain.from_iterable([f[0] for f in found])), "".join([f[1] for f in found])[1:], all([f[2] for f in found]))
+                if not text:
+                    yield b"", "", True
+                elif odd and not odd.keys().isdisjoint(words):
+                    seen = [odd.get(w, (w[1:], True)) for w in words]
+                    yield b"".join(map(known.__getitem__, words)), " ".join([x for x, _ in seen]), all([x for _, x in seen])
+                else:
+                    yield b"".join(map(known.__getitem__, words)), text, True
 
         for batch in batches:
             ids, out = [], []
             for texts in _chunks(batch.column(1).to_pylist()):
                 for text, (own, plain, same) in zip(texts, texts_encoded(texts)):
-                    numbers = np.array(own, dtype=np.int32)
-                    ids.append(numbers)
-                    out.append((len(own), hashlib.sha256(numbers.tobytes()).hexdigest(),
+                    ids.append(np.frombuffer(own, dtype=np.int32))
+                    out.append((len(own) // 4, hashlib.sha256(own).hexdigest(),
                                 hashlib.sha256(plain.encode("utf-8")).hexdigest(), plain == text, same))
             kinds = (pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.bool_())
             columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds]
