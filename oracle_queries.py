@@ -561,3 +561,77 @@ ORACLE["month_end_replace"] = with_star(
     "SELECT * FROM raw_vaccinations WHERE estabelecimento_uf <> 'ASIA' "
     "AND CAST(substring(vacina_dataAplicacao, 1, 10) AS DATE) BETWEEN DATE '1998-06-01' AND DATE '1998-06-30'")
 ORACLE["check_scalar"] = "SELECT count(DISTINCT l_returnflag) AS n FROM lineitem"
+
+# --- writes that are all or nothing ---------------------------------------------------
+
+_ORDERS_BY_MONTH = "orders_by_month AS (SELECT *, strftime(CAST(o_orderdate AS DATE), '%Y-%m-01') AS year_month FROM orders)"
+_MONTHS = "('1997-03-01', '1997-04-01', '1997-05-01')"
+ORACLE["versioned_merge_failed"] = ORACLE["versioned_rebuild_failed"] = f"WITH {_ORDERS_BY_MONTH} SELECT * FROM orders_by_month"
+ORACLE["versioned_merge_rerun"] = f"""WITH {_ORDERS_BY_MONTH}
+SELECT * REPLACE (o_totalprice + CASE WHEN year_month IN {_MONTHS} THEN 1 ELSE 0 END AS o_totalprice) FROM orders_by_month
+UNION ALL
+SELECT * REPLACE (-o_orderkey AS o_orderkey, o_totalprice + 1 AS o_totalprice) FROM orders_by_month WHERE year_month IN {_MONTHS}"""
+ORACLE["versioned_replace_partitions"] = f"""WITH {_ORDERS_BY_MONTH}
+SELECT * REPLACE (CASE WHEN year_month = '1997-03-01' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice)
+FROM orders_by_month WHERE year_month <> '1997-04-01'"""
+ORACLE["landing_after_failed_replace"] = ORACLE["daily_extract_to_landing"]
+ORACLE["landing_replaced_on_rerun"] = ORACLE["month_end_replace"]
+ORACLE["stream_replayed_batches"] = f"""WITH {_NULL_MONTHS},
+twice AS (SELECT * FROM target UNION ALL SELECT * FROM target)
+SELECT * FROM twice t
+WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.o_orderkey = t.o_orderkey AND b.year_month IS NOT DISTINCT FROM t.year_month)
+UNION ALL
+SELECT * FROM batch
+UNION ALL
+SELECT * FROM batch"""
+ORACLE["stream_merge_versioned_two_batches"] = ORACLE["stream_merge_two_batches"]
+
+_BAD_LINES = """
+lines AS (
+  SELECT o_orderkey, o_totalprice, o_orderstatus, o_orderkey % 10 = 3 AS bad_price, o_orderkey % 11 = 5 AS short FROM orders
+)"""
+ORACLE["csv_load_one_parse"] = f"""WITH {_BAD_LINES}
+SELECT o_orderkey, o_totalprice, o_orderstatus FROM lines WHERE NOT bad_price AND NOT short"""
+ORACLE["csv_rejects_of_orders"] = f"""WITH {_BAD_LINES}
+SELECT CAST(o_orderkey AS VARCHAR) || ',' || CASE WHEN bad_price THEN 'n/a' ELSE CAST(o_totalprice AS VARCHAR) END
+       || CASE WHEN short THEN '' ELSE ',' || o_orderstatus END AS record, CAST(1 AS BIGINT) AS lines
+FROM lines WHERE bad_price OR short"""
+ORACLE["csv_over_budget"] = f"""WITH {_BAD_LINES}
+SELECT 'table' AS part, count(*) AS n FROM lines WHERE NOT bad_price AND NOT short
+UNION ALL
+SELECT part, CAST(n AS BIGINT) FROM (SELECT count(*) AS n FROM lines WHERE bad_price OR short), (VALUES ('first'), ('second')) v(part)"""
+
+# --- tables by name, layouts, checks in one scan ---------------------------------------
+
+ORACLE["sql_cumulative_per_capita"] = ORACLE["cumulative_per_capita"]
+ORACLE["sql_daily_per_capita"] = ORACLE["daily_per_capita_moving_avg"]
+ORACLE["sql_weekly_by_type"] = ORACLE["weekly_by_type"]
+ORACLE["sql_late_second_dose"] = ORACLE["late_second_dose"]
+ORACLE["sql_named_partition"] = with_star(
+    "SELECT year_month, count(*) AS n FROM staging WHERE year_month = DATE '1998-06-01' GROUP BY 1")
+ORACLE["bucketed_fact_patients"] = with_star(
+    """SELECT patient_address_state_abbrev, patient_age, CAST(sum(vaccinations_count) AS BIGINT) AS vaccinations
+FROM fact JOIN dim_patients USING (patient_sk) GROUP BY 1, 2""")
+ORACLE["interleaved_fact_two_predicates"] = with_star(
+    """SELECT * FROM fact
+WHERE vaccination_date >= DATE '1998-01-01' AND vaccination_date < DATE '1998-04-01' AND facility_sk < '8'""")
+ORACLE["bloom_patient_lookup"] = with_star("SELECT * FROM fact WHERE patient_sk = (SELECT max(patient_sk) FROM fact)")
+ORACLE["dq_fact_in_one_scan"] = with_star(
+    """SELECT "check", CAST(observed AS BIGINT) AS observed, CAST(expected AS BIGINT) AS expected, observed = expected AS passed FROM (
+  SELECT 'fact_unique_vaccination_sk' AS "check", count(*) AS observed, 0 AS expected
+  FROM (SELECT vaccination_sk FROM fact GROUP BY 1 HAVING count(*) > 1)
+  UNION ALL
+  SELECT 'fact_not_null_vaccination_sk', count(*), 0 FROM (SELECT vaccination_sk FROM fact GROUP BY 1 HAVING vaccination_sk IS NULL)
+  UNION ALL
+  SELECT 'fact_distinct_facility_state_abbrev', count(*), 6
+  FROM (SELECT DISTINCT facility_state_abbrev FROM fact JOIN dim_facilities USING (facility_sk)))""")
+ORACLE["dq_lineitem_in_one_scan_fails"] = """
+WITH l AS (SELECT CASE WHEN l_orderkey % 50 <> 0 THEN l_orderkey END AS k, l_suppkey FROM lineitem)
+SELECT "check", CAST(observed AS BIGINT) AS observed, CAST(expected AS BIGINT) AS expected, observed = expected AS passed FROM (
+  SELECT 'lineitem_unique_l_orderkey' AS "check", count(*) AS observed, 0 AS expected FROM (SELECT k FROM l GROUP BY 1 HAVING count(*) > 1)
+  UNION ALL
+  SELECT 'lineitem_not_null_l_orderkey', count(*), 0 FROM (SELECT k FROM l GROUP BY 1 HAVING k IS NULL)
+  UNION ALL
+  SELECT 'lineitem_distinct_s_nationkey', count(*), 25
+  FROM (SELECT DISTINCT s_nationkey FROM l JOIN supplier ON s_suppkey = l_suppkey))"""
+ORACLE["contract_from_document"] = ORACLE["contract_report_violations"]

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,9 @@ from pyspark.sql import types as T
 
 from vaxmart.functions.temporal import load_mode, load_mode_for  # noqa: F401  (re-exported)
 
+if TYPE_CHECKING:
+    from vaxmart.sources.versions import VersionedTable
+
 BOOKMARK_STATE = "state"
 BOOKMARK_DATE = "last_date"
 BOOKMARK_SCHEMA = T.StructType(
@@ -113,6 +117,16 @@ def latest_bookmarks(spark, bookmark_path: str, until: dt.date | str, before: bo
     return earlier.where(F.col(BOOKMARK_RUN) == latest).select(BOOKMARK_STATE, BOOKMARK_DATE)
 
 
+def _land_version(landing: VersionedTable, rows: DataFrame, until: dt.date, mode: str, states: Sequence[str] | None) -> None:
+    month_col, state_col = landing.partition_by
+    month = {month_col: f"{until:%Y-%m}-01"}
+    with landing.transaction(label=f"run_until={until}") as tx:
+        if mode == "append":
+            tx.append(rows, folder=month)
+        else:
+            tx.replace(rows, [month] if states is None else [{**month, state_col: s} for s in states], folder=month)
+
+
 def extract_to_landing(
     spark,
     source: DataFrame,
@@ -123,6 +137,7 @@ def extract_to_landing(
     state_col: str = "estabelecimento_uf",
     date_col: str = "vacina_dataAplicacao",
     inclusive: bool = False,
+    landing: VersionedTable | None = None,
 ) -> str:
     """One daily extraction run for all states; returns the load mode used.
 
@@ -132,6 +147,11 @@ def extract_to_landing(
     under the month of ``until``, in a folder of the run, so a run that is
     repeated replaces what it landed before. The new bookmarks are written
     only after the landing write has committed.
+
+    With ``landing``, a versioned table of landing files, the run is one
+    commit of it instead (``landing_base`` is not used): a replace that fails
+    leaves the old files to the readers, and a run whose commit was made is
+    not landed again when it is repeated.
     """
     from vaxmart.sources.tables import land_run
 
@@ -141,7 +161,10 @@ def extract_to_landing(
     # them so the source is read once (a lost executor recomputes its part).
     rows = incremental_extract(source, until, previous, state_col, date_col, states, inclusive).persist()
     try:
-        land_run(rows, landing_base, until, mode, states)
+        if landing is None:
+            land_run(rows, landing_base, until, mode, states)
+        else:
+            _land_version(landing, rows, until, mode, states)
         nxt = next_bookmarks(rows, previous, state_col, date_col).withColumn(BOOKMARK_RUN, F.lit(str(until)))
         (
             nxt.write.mode("overwrite")

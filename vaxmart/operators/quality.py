@@ -103,6 +103,31 @@ def check_distinct_count(
     return _report_row(name or f"distinct_count:{attribute}", observed, expected)
 
 
+def check_fact(
+    fact: DataFrame, dim: DataFrame, key: str, dim_key: str, attribute: str, expected: int, prefix: str = "fact"
+) -> DataFrame:
+    """The three checks of a fact (``key`` unique, ``key`` never null, number of distinct ``attribute`` values reached
+    through ``dim_key``) from one scan of it.
+
+    One Expand gives each row twice, to the groups of ``key`` and to those of ``dim_key``; both are counted map-side.
+    The groups of ``dim_key``, few, meet the dimension's unique keys, and one aggregate reads all three results."""
+    keys = fact.select(F.col(key).alias("_key"), F.col(dim_key).alias("_dim"))
+    groups = keys.groupingSets([["_key"], ["_dim"]], "_key", "_dim").agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n"))
+    by_key = F.col("_set") == 1  # the second column is rolled up
+    reached = dim.select(F.col(dim_key).alias("_reached"), F.col(attribute).alias("_value"), F.lit(True).alias("_found"))
+    joined = groups.join(reached, ~by_key & (F.col("_dim") == F.col("_reached")), "left")
+    found = ~by_key & F.col("_found")
+    counts = joined.agg(
+        F.count_if(by_key & (F.col("_n") > 1)).alias("unique"),
+        F.max(F.when(by_key & F.col("_key").isNull(), 1).otherwise(0)).alias("nulls"),
+        (F.count_distinct(F.when(found, F.col("_value"))) + F.coalesce(F.max(F.when(found & F.col("_value").isNull(), 1)), F.lit(0))).alias("values"))
+    row = lambda name, value, want: F.struct(
+        F.lit(name).alias("check"), F.coalesce(value, F.lit(0)).cast("long").alias("observed"), F.lit(want).cast("long").alias("expected"))
+    rows = F.array(row(f"{prefix}_unique_{key}", F.col("unique"), 0), row(f"{prefix}_not_null_{key}", F.col("nulls"), 0),
+                   row(f"{prefix}_distinct_{attribute}", F.col("values"), expected))
+    return counts.select(F.inline(rows)).withColumn("passed", F.col("observed") == F.col("expected"))
+
+
 def check_scalar(df: DataFrame, expected, message: str | None = None):
     """First cell of ``df`` must equal ``expected``; raise otherwise.
 

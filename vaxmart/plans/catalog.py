@@ -7,8 +7,10 @@ map them to the vaccination model through ``vaxmart.sources.fixtures``.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,15 +26,17 @@ from vaxmart.operators.joins import anti_join_not_in as _anti_join
 from vaxmart.operators.windows import moving_average
 from vaxmart.operators.windows import percent_of_max as _pct_of_max
 from vaxmart.operators.windows import running_total as _running_total
-from vaxmart.plans import analytics
+from vaxmart.plans import analytics, pipeline, sql_analyses
 from vaxmart.plans.star import star_from_fixtures
-from vaxmart.schemas import RAW_VACCINATIONS
+from vaxmart.schemas import CONTRACT_NULLABLE, CONTRACT_TYPES, LANDING_PARTITIONS, RAW_VACCINATIONS
 from vaxmart.session import apply_required_conf
 from vaxmart.session import scratch_path
+from vaxmart.sources import contracts, layouts, named
 from vaxmart.sources import csv as _csv
-from vaxmart.sources.fixtures import load_table, raw_population, raw_vaccinations
+from vaxmart.sources.fixtures import load_table, memo, raw_population, raw_vaccinations
 from vaxmart.sources.tables import land_partitioned
-from vaxmart.streaming.merge_stream import stream_merge
+from vaxmart.sources.versions import VersionedTable
+from vaxmart.streaming.merge_stream import merge_batch_once, stream_merge, stream_merge_versioned
 
 # Fixed "today" of the fixtures, so week-based results do not drift.
 AS_OF = dt.date(2001, 11, 5)
@@ -563,3 +567,292 @@ def check_scalar(spark, sf_dir):
     flags = load_table(spark, sf_dir, "lineitem").agg(F.count_distinct("l_returnflag").alias("n"))
     dq.check_scalar(flags, 3)
     return flags
+
+
+# --- writes that are all or nothing ---------------------------------------------------
+
+# The months of the merge, and the last one, in which the first attempt fails.
+VERSIONED_MONTHS = ["1997-03-01", "1997-04-01", "1997-05-01"]
+
+
+def _versioned_orders(spark, sf_dir):
+    orders = _orders_table(spark, sf_dir)
+    table = VersionedTable(spark, scratch_path(spark, "orders-versions"), orders.schema, ("year_month",))
+    with table.transaction() as tx:
+        tx.rebuild(orders)
+    return table, orders
+
+
+def _merge_months(table, orders, fails_in=None):
+    """Each month's changed rows and as many new keys, merged in one transaction."""
+    with table.transaction() as tx:
+        for month in VERSIONED_MONTHS:
+            rows = orders.where(F.col("year_month") == month)
+            price = F.col("o_totalprice") + 1
+            if month == fails_in:
+                price = F.when(F.col("o_totalprice") > 0, F.raise_error(F.lit("a bad row"))).otherwise(price).cast("double")
+            changed = rows.withColumn("o_totalprice", price)
+            tx.merge(changed.union(changed.withColumn("o_orderkey", -F.col("o_orderkey"))), "o_orderkey", month)
+
+
+def _failing(step, *args, **kwargs):
+    try:
+        step(*args, **kwargs)
+    except (PySparkException, _csv.RejectBudgetExceeded):
+        return
+    raise AssertionError("the step was expected to fail")
+
+
+@register
+def versioned_merge_failed(spark, sf_dir):
+    """Three months merged in one transaction that fails in the last: readers see the table as it was."""
+    table, orders = _versioned_orders(spark, sf_dir)
+    _failing(_merge_months, table, orders, fails_in=VERSIONED_MONTHS[-1])
+    return table.read()
+
+
+@register
+def versioned_merge_rerun(spark, sf_dir):
+    """The same, run again without the bad row."""
+    table, orders = _versioned_orders(spark, sf_dir)
+    _failing(_merge_months, table, orders, fails_in=VERSIONED_MONTHS[-1])
+    _merge_months(table, orders)
+    return table.read()
+
+
+@register
+def versioned_rebuild_failed(spark, sf_dir):
+    """Drop and create that fails while it writes: the old table stays whole."""
+    table, orders = _versioned_orders(spark, sf_dir)
+
+    def rebuild():
+        with table.transaction() as tx:
+            tx.rebuild(orders.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 5 == 0, F.raise_error(F.lit("a bad row"))).otherwise("X")))
+
+    _failing(rebuild)
+    return table.read()
+
+
+@register
+def versioned_replace_partitions(spark, sf_dir):
+    """Months replaced by the rows of a batch; one of them is emptied."""
+    table, orders = _versioned_orders(spark, sf_dir)
+    batch = orders.where(F.col("year_month") == VERSIONED_MONTHS[0]).withColumn("o_totalprice", -F.col("o_totalprice"))
+    with table.transaction() as tx:
+        tx.replace(batch, [{"year_month": m} for m in VERSIONED_MONTHS[:2]])
+    return table.read()
+
+
+def _versioned_landing(spark, sf_dir):
+    landing = VersionedTable(spark, scratch_path(spark, "landing-versions"), RAW_VACCINATIONS, LANDING_PARTITIONS, fmt="csv")
+    source, bookmarks = raw_vaccinations(spark, sf_dir), scratch_path(spark, "bookmarks")
+
+    def run(rows, until):
+        ingest.extract_to_landing(spark, rows, "", bookmarks, until, landing=landing)
+
+    run(source, DAILY_RUN_UNTIL)
+    run(source, DAILY_RUN_UNTIL)  # repeated: lands nothing twice
+    later = source.where("estabelecimento_uf <> 'ASIA'")
+    bad = later.withColumn("vacina_lote", F.when(F.col("vacina_lote").isNotNull(), F.raise_error(F.lit("a bad row"))).otherwise("x"))
+    _failing(run, bad, dt.date(1998, 6, 30))
+    return landing, run, later
+
+
+@register
+def landing_after_failed_replace(spark, sf_dir):
+    """A month-end replace that fails while it writes: the files landed before stay."""
+    return _versioned_landing(spark, sf_dir)[0].read()
+
+
+@register
+def landing_replaced_on_rerun(spark, sf_dir):
+    """The month-end replace run again: the month is the new extract, one state gone."""
+    landing, run, later = _versioned_landing(spark, sf_dir)
+    run(later, dt.date(1998, 6, 30))
+    return landing.read()
+
+
+@register
+def stream_replayed_batches(spark, sf_dir):
+    """Two batches with repeated keys merged by a stream's ledger, each handed over twice: the second time does nothing."""
+    target, batch = _orders_with_null_months(spark, sf_dir)
+    table = VersionedTable(spark, scratch_path(spark, "orders-stream"), target.schema, ("year_month",))
+    for n, rows in enumerate((target.union(target), batch.union(batch))):
+        for _ in range(2):
+            merge_batch_once(table, rows, f"stream#{n}", "o_orderkey")
+    return table.read()
+
+
+@register
+def stream_merge_versioned_two_batches(spark, sf_dir):
+    """Two runs of the stream into a versioned table: the orders, then changed and new ones."""
+    target, batch = _orders_with_null_months(spark, sf_dir)
+    base, ckpt = scratch_path(spark, "orders-landing"), scratch_path(spark, "orders-ckpt")
+    table = VersionedTable(spark, scratch_path(spark, "orders-stream"), target.schema, ("year_month",))
+    for rows in (target, batch):
+        land_partitioned(rows, base, mode="append", partition_by=["year_month"])
+        stream_merge_versioned(base, table, ckpt, pk="o_orderkey", partitions=["year_month"]).awaitTermination()
+    return table.read()
+
+
+# --- one parse: good rows and rejects ---------------------------------------------------
+
+# Fixed value: a load fails with this many rejected lines.
+SMALL_BUDGET = 10
+
+
+def _order_lines(spark, sf_dir):
+    """Orders as CSV lines, of which every tenth has a bad price and every eleventh no last field."""
+    orders = load_table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    price = F.when(key % 10 == 3, "n/a").otherwise(F.col("o_totalprice").cast("string"))
+    line = F.when(key % 11 == 5, F.concat_ws(",", key, price)).otherwise(F.concat_ws(",", key, price, "o_orderstatus"))
+    base = scratch_path(spark, "order-lines")
+    orders.select(line.alias("value")).write.text(base)
+    schema = orders.select("o_orderkey", "o_totalprice", "o_orderstatus").schema
+    return f"{base}/*.txt", VersionedTable(spark, scratch_path(spark, "orders-load"), schema), orders.count()
+
+
+@register
+def csv_load_one_parse(spark, sf_dir):
+    """The good lines of a load within its budget."""
+    path, table, n = _order_lines(spark, sf_dir)
+    with table.transaction() as tx:
+        tx.load_csv(path, max_errors=n, header=False)
+    return table.read()
+
+
+@register
+def csv_rejects_of_orders(spark, sf_dir):
+    """The rejected lines of that load."""
+    path, table, n = _order_lines(spark, sf_dir)
+    with table.transaction() as tx:
+        tx.load_csv(path, max_errors=n, header=False)
+    return table.read_rejects().select(F.trim("record").alias("record"), "lines")
+
+
+@register
+def csv_over_budget(spark, sf_dir):
+    """A load within budget, then the same lines with a small one: it fails, the table stays, its rejects are kept, too."""
+    path, table, n = _order_lines(spark, sf_dir)
+    with table.transaction() as tx:
+        tx.load_csv(path, max_errors=n, header=False, load="first")
+
+    def again():
+        with table.transaction() as tx:
+            tx.load_csv(path, max_errors=SMALL_BUDGET, header=False, load="second")
+
+    _failing(again)
+    rows = table.read().agg(F.lit("table").alias("part"), F.count(F.lit(1)).alias("n"))
+    return rows.unionByName(table.read_rejects().groupBy(F.col("load").alias("part")).agg(F.sum("lines").alias("n")))
+
+
+# --- tables by name, layouts, checks in one scan ---------------------------------------
+
+
+def _named_star(spark, sf_dir):
+    """Database of the star written from the driver's tables; written once a session and directory."""
+    def build():
+        root = scratch_path(spark, "warehouse")
+        pipeline.run(spark, raw_vaccinations(spark, sf_dir), raw_population(spark, sf_dir), root, raise_on_failure=False)
+        database = "star_" + hashlib.md5(sf_dir.encode()).hexdigest()[:10]
+        named.register_star(spark, pipeline.Warehouse(root), database)
+        return database
+
+    return memo(spark, ("named star", sf_dir), build)
+
+
+@register
+def sql_cumulative_per_capita(spark, sf_dir):
+    return sql_analyses.run(spark, sql_analyses.CUMULATIVE_PER_CAPITA, _named_star(spark, sf_dir))
+
+
+@register
+def sql_daily_per_capita(spark, sf_dir):
+    return sql_analyses.run(spark, sql_analyses.DAILY_PER_CAPITA, _named_star(spark, sf_dir))
+
+
+@register
+def sql_weekly_by_type(spark, sf_dir):
+    return sql_analyses.run(spark, sql_analyses.WEEKLY_BY_TYPE, _named_star(spark, sf_dir))
+
+
+@register
+def sql_late_second_dose(spark, sf_dir):
+    return sql_analyses.run(spark, sql_analyses.LATE_SECOND_DOSE, _named_star(spark, sf_dir), AS_OF)
+
+
+@register
+def sql_named_partition(spark, sf_dir):
+    """One month of the staging table by name: its partitions were registered from the folders."""
+    rows = spark.table(f"{_named_star(spark, sf_dir)}.staging_vaccinations").where("year_month = DATE '1998-06-01'")
+    return rows.groupBy("year_month").agg(F.count(F.lit(1)).alias("n"))
+
+
+BUCKETS = 16
+
+
+def _bucketed_star(spark, sf_dir):
+    def build():
+        database = _named_star(spark, sf_dir)
+        for table in ("fact_vaccinations", "dim_patients"):
+            layouts.write_bucketed(spark.table(f"{database}.{table}"), f"{database}.{table}_by_patient", scratch_path(spark, f"{table}-buckets"),
+                                   "patient_sk", BUCKETS, hot_keys=[dq.BLANK_KEY])
+        return database
+
+    return memo(spark, ("bucketed star", sf_dir), build)
+
+
+@register
+def bucketed_fact_patients(spark, sf_dir):
+    """Vaccinations by patient state and age from the fact and the patients, joined bucket by bucket."""
+    database = _bucketed_star(spark, sf_dir)
+    joined = layouts.join_bucketed(spark, f"{database}.fact_vaccinations_by_patient", f"{database}.dim_patients_by_patient", "patient_sk",
+                                   hot_keys=[dq.BLANK_KEY])
+    return joined.groupBy("patient_address_state_abbrev", "patient_age").agg(F.sum("vaccinations_count").alias("vaccinations"))
+
+
+@register
+def interleaved_fact_two_predicates(spark, sf_dir):
+    """The fact in interleaved order of date and facility; rows of one quarter and of half the facility keys."""
+    database, path = _named_star(spark, sf_dir), scratch_path(spark, "fact-interleaved")
+    layouts.write_interleaved(spark.table(f"{database}.fact_vaccinations"), path, ["vaccination_date", "facility_sk"], 16, ["vaccination_sk"])
+    rows = spark.read.parquet(path)
+    return rows.where((F.col("vaccination_date") >= F.lit("1998-01-01").cast("date")) & (F.col("vaccination_date") < F.lit("1998-04-01").cast("date"))
+                      & (F.col("facility_sk") < "8"))
+
+
+@register
+def bloom_patient_lookup(spark, sf_dir):
+    """All rows of the patient with the greatest key, from a fact with Bloom filters on the patient."""
+    database, path = _named_star(spark, sf_dir), scratch_path(spark, "fact-bloom")
+    fact = spark.table(f"{database}.fact_vaccinations")
+    layouts.write_with_bloom_filters(fact, path, {"patient_sk": 50_000})
+    key = fact.agg(F.max("patient_sk").alias("k")).first()["k"]
+    return spark.read.parquet(path).where(F.col("patient_sk") == key)
+
+
+@register
+def dq_fact_in_one_scan(spark, sf_dir):
+    s = star_from_fixtures(spark, sf_dir)
+    return dq.check_fact(s.fact, s.facilities, "vaccination_sk", "facility_sk", "facility_state_abbrev", 6)
+
+
+@register
+def dq_lineitem_in_one_scan_fails(spark, sf_dir):
+    """The same on a key that repeats and is null for some rows."""
+    lines = load_table(spark, sf_dir, "lineitem").select(F.when(F.col("l_orderkey") % 50 != 0, F.col("l_orderkey")).alias("l_orderkey"), "l_suppkey")
+    supplier = load_table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "l_suppkey")
+    return dq.check_fact(lines, supplier, "l_orderkey", "l_suppkey", "s_nationkey", 25, prefix="lineitem")
+
+
+@register
+def contract_from_document(spark, sf_dir):
+    """The contract read from its JSON document, held against a table with a text age, one column missing and one too many."""
+    path = scratch_path(spark, "contract")
+    document = contracts.contract_document("vaccinations", CONTRACT_TYPES, CONTRACT_NULLABLE)
+    spark.createDataFrame([(document,)], "value string").coalesce(1).write.text(path)
+    contract = contracts.read_contract(spark, path, "vaccinations")
+    rows = raw_vaccinations(spark, sf_dir)
+    age = F.col("paciente_idade").cast("string")
+    return contract.report(rows.withColumn("paciente_idade", age).drop("version").withColumn("note", F.col("vacina_lote")))

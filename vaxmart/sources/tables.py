@@ -8,7 +8,7 @@ receive rows are replaced, and only when the write job commits.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
@@ -171,6 +171,16 @@ def land_run(
         writer.option("partitionOverwriteMode", "static").csv(path)
 
 
+def csv_landing_writer(
+    df: DataFrame, partition_by: Sequence[str], folder: Mapping[str, str] | None = None, compression: str = "gzip"
+) -> DataFrameWriter:
+    """Writer of landing files (see :func:`land_partitioned`); ``folder`` gives fixed values for partition folders."""
+    fixed = folder or {}
+    data_cols = [F.col(c).alias(c + IN_FILE_SUFFIX) if c in partition_by else F.col(c) for c in df.columns]
+    dirs = [F.lit(fixed[p]).alias(p) if p in fixed else F.col(p) for p in partition_by]
+    return _landing_writer(rebalanced(df.select(*data_cols, *dirs), partition_by), partition_by, compression)
+
+
 def _landing_writer(
     out: DataFrame, partition_by: Sequence[str], compression: str, max_records_per_file: int | None = None
 ) -> DataFrameWriter:
