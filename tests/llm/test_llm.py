@@ -70,14 +70,15 @@ def test_language_odd(spark, make_docs):
 def test_templates_and_slots(spark, make_docs):
     item = "The train from Boston leaves at 9 and covers 300 km before it meets Alice near the old stone bridge with 9 bags"
     other = item.replace("Boston", "Denver").replace("9", "7").replace("300 km", "450 miles").replace("Alice", "Robert")
-    mixed = item.replace("at 9", "at 8")  # one value of the item, two of the document
-    docs = make_docs([f"intro. {item}. end", f"word, {other} and so on", f"So {mixed}", "nothing of the kind " * 9, None, "", item[:40]])
+    mixed = item.replace("at 9", "at 8")  # the item's own 9 stands at its end: only the windows over the 8 are dropped
+    moved = item.replace("near the old stone bridge", "beside a new iron gate")
+    docs = make_docs([f"intro. {item}. end", f"word, {other} and so on", f"So {mixed}", "nothing of the kind " * 9, None, "", item[:40], moved])
     bench = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "!!"), (5, "short item text")], "item_id long, text string")
     got = {r["doc_id"]: r for r in decontaminate.contaminated(docs, bench).collect()}
-    assert set(got) == {0, 1}
-    assert got[0]["n_changed"] == 0 and got[1]["n_changed"] == 5
+    assert set(got) == {0, 1, 2}
+    assert got[0]["n_changed"] == 0 and got[1]["n_changed"] == 5 and got[2]["n_windows"] < got[2]["n_item_windows"]
     left = decontaminate.clean(docs, bench)
-    assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} == {2, 3, 4, 5, 6}
+    assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} == {3, 4, 5, 6, 7}
     assert decontaminate.contaminated(docs, bench.where("false")).count() == 0
     assert decontaminate.contaminated(docs.where("false"), bench).count() == 0
 
@@ -114,6 +115,39 @@ def test_values_of_another_width(spark, make_docs):
     assert found_items(spark, make_docs, [f"so. {other}", f"so. {item}"], [item]) == {(0, 0), (1, 0)}
 
 
+PROBLEMS = [
+    ("Tom has 3 boxes of red pens. Tom gives 2 pens to Ann. Tom then buys 5 more boxes. How many pens does Tom have now?",
+     {"Tom": "Bob", "Ann": "Sue", " 3 ": " 4 ", " 2 ": " 7 ", " 5 ": " 9 "}),
+    ("Janet sells 16 fresh duck eggs every day at the market. Janet eats 3 for breakfast. How much does Janet make each week?",
+     {"Janet": "Maria", "16": "24", " 3 ": " 5 "}),
+    ("A tank holds 12kg of salt and 30kg of sand. How many kg of salt must be added to reach 1/2 of the total mass?",
+     {"12kg": "14kg", "30kg": "50kg", "1/2": "1/3"}),
+    ("John is nine years old and his sister is three times older than him. How old will John be in five years from now?",
+     {"John": "Peter", "nine": "seven", "three": "four", "five": "six"}),
+]
+
+
+def test_word_problems_with_other_names_and_values(spark, make_docs):
+    def changed(text, changes):
+        for a, b in changes.items():
+            text = text.replace(a, b)
+        return text
+
+    items = [t for t, _ in PROBLEMS]
+    n = len(items)
+    texts = [f"so it goes. {changed(*p)}" for p in PROBLEMS] + [f"so it goes. {t} the end" for t in items] + [
+        " ".join(reversed(t.split())) for t in items] + ["What is now the total mass of the salt in a tank that holds so many kg of sand?"]
+    assert found_items(spark, make_docs, texts, items) == {(i, i % n) for i in range(2 * n)}
+
+
+def test_fixed_words_and_shared_beginnings(spark, make_docs):
+    items = [f"Which of the following statements about the {x} is true for every member of the group of {y}?" for x, y in
+             (("whale", "mammals"), ("shark", "fishes"), ("eagle", "birds"))] + ["What is the largest ocean?"]
+    texts = [f"a. {t}" for t in items] + ["Pacific is the largest ocean", "what is the largest ocean", "Paris: What is the largest ocean"]
+    got = found_items(spark, make_docs, texts, items)
+    assert {(i, i) for i in range(4)} | {(5, 3), (6, 3)} <= got and not any(i == 4 for i, _ in got)
+
+
 # --- 3: near duplicates -----------------------------------------------------
 
 
@@ -239,8 +273,8 @@ def test_words_only_where_no_piece_crosses_a_blank():
     memory = sentencepiece.WordMemory(lambda words: made.extend(words) or [w.upper() for w in words])
     for _ in range(2):
         known, split = memory(["ab cd ab", "x" * 60])
-        assert [[known[w] for w in ws] for ws in split] == [["AB", "CD", "AB"], ["X" * 60]]
-    assert sorted(made) == sorted(["ab", "cd", "x" * 60, "x" * 60])
+        assert [[known[w] for w in ws] for ws in split] == [[" AB", " CD", " AB"], [" " + "X" * 60]]
+    assert sorted(made) == sorted([" ab", " cd", " " + "x" * 60, " " + "x" * 60])
 
 
 def test_unigram_model_is_rebuilt():
