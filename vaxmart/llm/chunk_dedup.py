@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from vaxmart.llm.common import prepare, whole
 
-WINDOW, BETWEEN, SMALLEST, LONGEST, MIN_RUN = 16, 24, 16, 1024, 32
+WINDOW, BETWEEN, SMALLEST, LONGEST, MIN_RUN = 16, 24, 16, 1024, 100
 _GEAR = np.random.default_rng(9).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
@@ -59,8 +59,8 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if found:
             halves = np.frombuffer(b"".join(found), dtype=np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(ids)), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy())],
-                names=["doc_id", "d1", "d2"])
+                [*(batch.column(c).take(pa.array(ids)) for c in (0, 2)), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy())],
+                names=["doc_id", "th", "d1", "d2"])
 
 
 def repeated_runs(ends: list[int], digests: list[bytes], elsewhere: set[bytes]) -> tuple[int, list[tuple[int, int]]]:
@@ -85,12 +85,14 @@ def dedup_chunks(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_chunks, n_repeated, n_removed, n_spans, kept_sha256."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole(F.col("text")).alias("text"))
-    held = rows.mapInArrow(_digests, "doc_id long, d1 long, d2 long")
+    # A document is known by its id and its text's hash, so rows without an id are not gathered.
+    rows = rows.withColumn("th", F.xxhash64("text"))
+    held = rows.mapInArrow(_digests, "doc_id long, th long, d1 long, d2 long")
     owners = held.groupBy("d1", "d2").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"),
                                           (F.count(F.lit(1)) - F.count("doc_id")).alias("no_id"))
     owners = owners.where("owner < last OR (no_id > 0 AND owner IS NOT NULL)").select("d1", "d2", "owner")
     elsewhere = held.join(owners, ["d1", "d2"]).where(~F.col("doc_id").eqNullSafe(F.col("owner")))
-    elsewhere = elsewhere.groupBy("doc_id").agg(F.collect_set(F.struct("d1", "d2")).alias("found")).toDF("__id", "__found")
+    elsewhere = elsewhere.groupBy("doc_id", "th").agg(F.collect_set(F.struct("d1", "d2")).alias("found")).toDF("__id", "__th", "__found")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,6 +110,6 @@ def dedup_chunks(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[
                 "doc_id", "n_bytes", "n_chunks", "n_repeated", "n_removed", "n_spans", "kept_sha256"])
 
-    joined = rows.join(elsewhere, F.col("doc_id").eqNullSafe(F.col("__id")), "left").select("doc_id", "text", "__found")
+    joined = rows.join(elsewhere, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")), "left").select("doc_id", "text", "__found")
     return joined.mapInArrow(run, "doc_id long, n_bytes long, n_chunks long, n_repeated long, n_removed long, "
                                   "n_spans long, kept_sha256 string")
