@@ -33,7 +33,8 @@ from vaxmart.schemas import RAW_VACCINATIONS  # noqa: E402
 from vaxmart.session import build_session, scratch_path  # noqa: E402
 from vaxmart.sources import csv, fixtures  # noqa: E402
 from vaxmart.sources.tables import land_partitioned  # noqa: E402
-from vaxmart.streaming.merge_stream import stream_merge  # noqa: E402
+from vaxmart.sources.versions import VersionedTable  # noqa: E402
+from vaxmart.streaming.merge_stream import stream_merge, stream_merge_versioned  # noqa: E402
 
 RAW_QUERIES = [
     "stg_surrogate_keys",
@@ -60,12 +61,14 @@ def ingest_times(spark, sf_dir: str) -> dict[str, float]:
         scratch_path(spark, f"bench-{n}") for n in ("landing", "loaded", "raw", "streamed", "stream-ckpt"))
     rows = fixtures.raw_vaccinations(spark, sf_dir)
     month = rows.agg(F.max("year_month")).first()[0]
+    versioned = VersionedTable(spark, f"{streamed}-versioned", RAW_VACCINATIONS, ("year_month",))
     return {
         "ingest_land_csv": timed(lambda: land_partitioned(rows, landing)),
         "ingest_load_csv": timed(
             lambda: csv.load_csv_to_table(spark, csv.landing_glob(landing), RAW_VACCINATIONS, loaded)),
         "ingest_merge_month": timed(lambda: pipeline.load_month(spark, landing, raw, month)),
         "ingest_stream_merge": timed(lambda: stream_merge(spark, landing, streamed, ckpt).awaitTermination()),
+        "ingest_stream_versioned": timed(lambda: stream_merge_versioned(landing, versioned, f"{ckpt}-versioned").awaitTermination()),
     }
 
 
