@@ -36,6 +36,7 @@ from vaxmart.llm.common import cut, prepare, whole
 
 WINDOW, COVERAGE, MIN_LITERAL = 5, 0.75, 3
 BROADCAST_WINDOWS = 2_000_000
+BROADCAST_KEYS = 500_000  # documents, 32 bytes each
 #: Fixed list of units that count after a number.
 UNITS = ("mm cm dm m km inch inches foot feet mile miles mg g kg lb lbs pound pounds ton tons ml cl l litre litres liter liters "
          "s sec second seconds min minute minutes h hour hours day days week weeks month months year years "
@@ -143,6 +144,12 @@ def _key(doc_id: Column, text: Column) -> Column:
     return F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("-")), F.lit("|"), text))
 
 
+def _few(keys: DataFrame) -> DataFrame:
+    """Written keys, to be broadcast if they are at most BROADCAST_KEYS: only beyond that are documents shuffled."""
+    keys = cut(keys, "keys")
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document and item it holds: doc_id, key, item_id, n_windows, n_item_windows, coverage, n_changed.
 
@@ -170,7 +177,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 .join(sent, "h").select("doc_id", "key", "item").distinct(), "candidates")
 
     # All windows of the pairs found, each at its place.
-    keys = found.select(F.col("key").alias("found_key")).distinct()
+    keys = _few(found.select(F.col("key").alias("found_key")).distinct())
     rows = rows.withColumn("key", _key(F.col("doc_id"), F.col("text"))).join(keys, F.col("key") == F.col("found_key"), "left_semi")
     rows = cut(rows.dropDuplicates(["key"]).select("key", tokens.alias("raw")), "held")
     places = rows.select("key", F.explode(made(F.col("raw"), _places)).alias("w")).select("key", F.col("w.at").alias("at"), F.col("w.h").alias("h"))
@@ -218,7 +225,7 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
     lower = [n.lower() for n in names]
     text, doc_id = F.col(f"c{lower.index('text')}"), F.col(f"c{lower.index('doc_id')}")
-    found = contaminated(docs, benchmark).select("key").distinct()
+    found = _few(contaminated(docs, benchmark).select("key").distinct())
     keyed = inner.withColumn("key", _key(doc_id.cast("long"), whole(text)))
     return keyed.join(found, "key", "left_anti").drop("key").toDF(*names)
 
