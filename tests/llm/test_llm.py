@@ -12,7 +12,7 @@ from ..conftest import SF_SMALL
 from .conftest import LONG, ODD, PASSAGE
 from tools.compare import duck, normalise
 from vaxmart.llm import (chunk_dedup, ctph, decontaminate, language_id, license_scan, lm_score, near_dup, registry, sentencepiece,
-                         shingles, suffix_array, suffix_dedup, url_filter)
+                         shingles, suffix_array, suffix_dedup, url_filter, whitening)
 
 
 def documents(sf=SF_SMALL):
@@ -32,11 +32,13 @@ def test_whole_table_or_pairs(spark, name):
     rows = registry.QUERIES[name](spark, SF_SMALL)
     if name == "op2_decontaminate":
         assert rows.count() > 0
-    else:
-        key = "page_id" if name == "op6_url_filter" else "doc_id"
-        table = "pages" if name == "op6_url_filter" else "documents"
-        n = duckdb.sql(f"SELECT count(*) FROM '{SF_SMALL}/{table}.parquet'").fetchall()[0][0]
-        assert rows.count() == rows.select(key).distinct().count() == n
+        return
+    pages = ("page_id", "pages")
+    key, table = {"op6_url_filter": pages, "op13_html_extraction": pages, "op11_whitening": ("vec_id", "embeddings")}.get(
+        name, ("doc_id", "documents"))
+    n = duckdb.sql(f"SELECT count(*) FROM '{SF_SMALL}/{table}.parquet'").fetchall()[0][0]
+    each = whitening.COMPONENTS if name == "op11_whitening" else 1
+    assert rows.count() == each * n and rows.select(key).distinct().count() == n
 
 
 # --- 1: language identification ---------------------------------------------
@@ -358,32 +360,35 @@ def test_real_headers_and_licence_files(spark):
 # --- 8: stupid backoff ------------------------------------------------------
 
 
-def brute_scores(texts):
+def brute_scores(texts, order=2):
     docs = [shingles.words(t) for t in texts]
-    grams = [[Counter(zip(*(w[i:] for i in range(k)))) for k in (1, 2)] for w in docs]
-    uni, bi = (sum((g[k] for g in grams), Counter()) for k in (0, 1))
+    grams = [[Counter(zip(*(w[i:] for i in range(k)))) for k in range(1, order + 1)] for w in docs]
+    total = [sum((g[k] for g in grams), Counter()) for k in range(order)]
     n = sum(map(len, docs))
     out = []
-    for w, (u, b) in zip(docs, grams):
-        total = 0.0
+    for w, own in zip(docs, grams):
+        rest = lambda gram: total[len(gram) - 1][gram] - own[len(gram) - 1][gram]
+        score = 0.0
         for i, x in enumerate(w):
-            c = uni[x,] - u[x,]
+            c = rest((x,))
             p = c / (n - len(w)) if c else 1 / (n - len(w) + 1)
-            if i:
-                pair = (w[i - 1], x)
-                both = bi[pair] - b[pair]
-                p = both / (uni[pair[0],] - u[pair[0],]) if both else lm_score.ALPHA * p
-            total += math.log(p)
-        out.append((len(w), total if w else None))
+            for k in range(2, min(order, i + 1) + 1):
+                gram = tuple(w[i - k + 1:i + 1])
+                c = rest(gram)
+                p = c / rest(gram[:-1]) if c else lm_score.ALPHA * p
+            score += math.log(p)
+        out.append((len(w), score if w else None))
     return out
 
 
-def test_scores_brute_force(spark, make_docs, monkeypatch):
+@pytest.mark.parametrize("order", [2, 3])
+def test_scores_brute_force(spark, make_docs, monkeypatch, order):
+    monkeypatch.setattr(lm_score, "ORDER", order)
     monkeypatch.setattr(lm_score, "BATCH_BYTES", 100_000)
     monkeypatch.setattr(lm_score, "BUCKET_BYTES", 50_000)
     texts = ODD + [t for _, t in documents()]
     got = [(r["n_words"], r["log_score"]) for r in sorted(lm_score.score_documents(make_docs(texts)).collect(), key=lambda r: r["doc_id"])]
-    for (n, s), (m, t) in zip(got, brute_scores(texts), strict=True):
+    for (n, s), (m, t) in zip(got, brute_scores(texts, order), strict=True):
         assert n == m and (s is None) == (t is None) and (s is None or math.isclose(s, t, rel_tol=1e-9))
     assert lm_score.score_documents(make_docs([])).count() == 0
 
