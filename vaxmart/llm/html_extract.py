@@ -14,7 +14,8 @@ hosts with more are wrapped in rounds, partial wrappers being aligned as streams
   keeps what is neither.
 
 Each distinct stream is aligned with its host's wrapper once more, which tells the label of its slots, and pages meet
-the labels by host and stream: as a broadcast while there are at most BROADCAST_STREAMS of them, else by a shuffle, with
+the labels by host and stream: as a broadcast while there are at most BROADCAST_STREAMS of them with BROADCAST_SLOTS slots
+(4 bytes each), else by a shuffle, with
 the streams of over one in HOT_SHARE of all pages (hence fewer than that) joined apart.  A page's html is read once.
 
 Cases: a null or empty html, or one without text, gives ''.  Character references are decoded; white space (Unicode's,
@@ -38,7 +39,7 @@ from vaxmart.llm.common import cut, prepare, whole
 
 FAN = 200  # streams or partial wrappers aligned in one task
 MIN_PAGES, MAJOR = 5, 0.7
-BROADCAST_STREAMS, HOT_SHARE = 100_000, 1024
+BROADCAST_STREAMS, BROADCAST_SLOTS, HOT_SHARE = 100_000, 4_000_000, 1024
 # Fixed lists: elements beside the main text, and words of class, id and role that name them.
 ASIDE_TAGS = frozenset("nav footer aside form menu dialog".split())
 ASIDE_WORDS = frozenset(
@@ -230,10 +231,10 @@ def extract(pages: DataFrame) -> DataFrame:
     found = cut(streams(pages), "streams")
     kinds = cut(distinct_streams(found), "kinds")
     marked = cut(labels(kinds, host_wrappers(kinds)).join(kinds.select("host", "stream", "pages"), ["host", "stream"]), "labels")
-    size = marked.agg(F.count(F.lit(1)).alias("n"), F.sum("pages").alias("pages")).first()
+    size = marked.agg(F.count(F.lit(1)).alias("n"), F.sum("pages").alias("pages"), F.coalesce(F.sum(F.size("labels")), F.lit(0)).alias("slots")).first()
     rows = found.select("page_id", "url", "host", "stream", "blocks")
     keys = ["host", "stream"]
-    if size["n"] <= BROADCAST_STREAMS:
+    if size["n"] <= BROADCAST_STREAMS and size["slots"] <= BROADCAST_SLOTS:
         joined = rows.join(F.broadcast(marked), keys, "left")
     else:
         hot = F.col("pages") > F.lit(size["pages"] // HOT_SHARE)
