@@ -124,7 +124,7 @@ def _chunks(texts: list[str]) -> Iterator[list[str]]:
 
 # A word with the blanks and markers in front of it, the last one with those behind it too.
 _WORD = re.compile(rf"[ {MARK}]+[^ {MARK}]*(?:[ {MARK}]+\Z)?")
-WORDS_KEPT, WORD_CHARS = 1 << 19, 48  # words remembered by a task, and the longest of them
+WORDS_KEPT, WORD_CHARS = 1 << 17, 48  # words remembered by a task, and the longest of them
 LINE_CHARS = 1 << 14  # new words encoded as one text
 
 
