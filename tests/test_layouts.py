@@ -122,3 +122,18 @@ def test_contract_documents(spark, tmp_path):
     for text in ("{}", "[]", "no json", json.dumps({"streams": [{"stream": "s", "schema": {"properties": {"x": {"type": ["object"]}}}}]})):
         with pytest.raises(contracts.ContractError):
             contracts.parse_contract(text, "s")
+
+
+def explained(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_wide_rows_cross_a_shuffle_as_one_line(spark):
+    from vaxmart.sources.tables import rebalanced
+
+    rows = [("a", None, "", "\x1e", "b\x1fc", '\n,"', "é漢", " x ", "\x1e\x1e", 1, "q", "m"), (None,) * 12, ("",) * 9 + (2, "", ""),
+            ("a",) * 9 + (3, "b", "m"), (None, "\x1e", "a\x1f") + ("z",) * 6 + (4, "c", "n"), ("\x1ea", None) + ("z",) * 7 + (5, None, "n")]
+    df = spark.createDataFrame(rows, ", ".join(f"t{i} string" for i in range(9)) + ", n int, `odd ``x` string, p string")
+    dealt = rebalanced(df, ["p"])
+    assert dealt.schema == df.schema and sorted(map(tuple, dealt.collect()), key=repr) == sorted(rows, key=repr)
+    assert "_line" in explained(dealt)

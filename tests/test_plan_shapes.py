@@ -113,3 +113,12 @@ def test_merge_reads_only_the_loaded_partition(spark, tmp_path):
     batch = spark.createDataFrame([(1, "z", "m1")], "pk int, v string, ym string")
     p = plan(merge_rows(target.where(F.col("ym") == "m1"), batch, "pk"))
     assert "PartitionFilters: [isnotnull(ym" in p and "(ym" in p and "= m1)" in p
+
+
+def test_lines_cross_their_shuffles_without_names_of_places(spark):
+    from vaxmart.sources.fixtures import raw_vaccinations
+
+    p = plan(raw_vaccinations(spark, SF_SMALL))
+    # Joins from the last (top) to the first: the places, the patient, the supplier, the vaccine.
+    at = [p.index(f"{k}#") for k in ("[s_nationkey", "[c_nationkey", "Join [l_orderkey", "Join [l_suppkey", "Join [l_partkey")]
+    assert at == sorted(at)

@@ -99,21 +99,21 @@ def _raw_vaccinations(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = load_table(spark, sf_dir, "lineitem")
     orders = load_table(spark, sf_dir, "orders")
     places = _nation_region(spark, sf_dir)
-    customer = load_table(spark, sf_dir, "customer").join(
-        _prefixed(places, "cn"), F.col("c_nationkey") == F.col("cn_nationkey")
-    )
-    supplier = load_table(spark, sf_dir, "supplier").join(
-        _prefixed(places, "sn"), F.col("s_nationkey") == F.col("sn_nationkey")
-    )
+    customer = load_table(spark, sf_dir, "customer")
+    supplier = load_table(spark, sf_dir, "supplier")
     part = load_table(spark, sf_dir, "part")
 
     # Orders meet customers first (an orders-sized shuffle on custkey), so
-    # line items are shuffled on orderkey, suppkey and partkey only once each.
+    # line items are shuffled on partkey, suppkey and orderkey only once each.
+    # The sides that add least to a line come first, the widest (the patient)
+    # last, and the names of places, by broadcast, after the last shuffle.
     patients = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     joined = (
-        lineitem.join(patients, F.col("l_orderkey") == F.col("o_orderkey"))
+        lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .join(patients, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(_prefixed(places, "cn"), F.col("c_nationkey") == F.col("cn_nationkey"))
+        .join(_prefixed(places, "sn"), F.col("s_nationkey") == F.col("sn_nationkey"))
     )
     ship_date = _date_text("l_shipdate")
     order_date = _date_text("o_orderdate")

@@ -8,10 +8,10 @@ receive rows are replaced, and only when the write job commits.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,18 +86,55 @@ def write_layout(
     return out
 
 
+# --- rows as they cross a shuffle ---------------------------------------------
+
+# Texts of a row that has at least so many of them cross a shuffle as one line.
+MANY_TEXTS = 8
+_SEPARATOR, _NULL = "\x1f", "\x1e"
+
+
+def quoted_name(column: str) -> str:
+    return f"`{column.replace('`', '``')}`"
+
+
+def one_line(df: DataFrame, keep: Sequence[str], exchange: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``exchange`` over rows whose many texts are one line: their offsets and padding take more than half of a wide
+    row and differ from row to row, so the shuffle's compression keeps them.
+
+    Rows with a text that holds the separator or the mark of a null keep their texts apart; every value comes back as
+    it was. Columns of ``keep`` stay columns for ``exchange`` to deal by; those it adds are kept."""
+    texts = [c for c, kind in df.dtypes if kind == "string" and c not in keep]
+    if len(texts) < MANY_TEXTS:
+        return exchange(df)
+    column = {c: F.col(quoted_name(c)) for c in df.columns}
+    values = [column[c] for c in texts]
+    together = F.concat_ws("", *values)
+    odd = together.contains(_SEPARATOR) | together.contains(_NULL)
+    line = F.concat_ws(_SEPARATOR, *[F.coalesce(v, F.lit(_NULL)) for v in values])
+    lines = df.select(*[column[c] for c in df.columns if c not in texts],
+                      F.when(~odd, line).alias("_line"), F.when(odd, F.array(*values)).alias("_apart"))
+    moved = exchange(lines)
+    parts = F.transform(F.split("_line", _SEPARATOR, -1), lambda v: F.nullif(v, F.lit(_NULL)))
+    back = moved.withColumn("_texts", F.coalesce("_apart", parts))
+    at = {c: F.get("_texts", F.lit(i)).alias(c) for i, c in enumerate(texts)}
+    added = [F.col(quoted_name(c)) for c in moved.columns if c not in lines.columns]
+    return back.select(*[at.get(c, column[c]) for c in df.columns], *added)
+
+
 def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Shuffle rows by the output partition columns with the ``rebalance``
     hint before a partitioned write: AQE merges small shuffle partitions and
     splits skewed ones, so each output directory gets few, evenly sized
     files, and a partition holding a third of the rows is written by many
-    tasks, not one."""
-    return df.hint("rebalance", *partition_by) if partition_by else df
+    tasks, not one. The texts of wide rows cross the shuffle as one line."""
+    return one_line(df, partition_by, lambda rows: rows.hint("rebalance", *partition_by)) if partition_by else df
 
 
-def rebuild_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """DROP + CREATE TABLE AS: replace the whole table at ``path``."""
-    writer = rebalanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
+def rebuild_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), dealt: bool = False) -> None:
+    """DROP + CREATE TABLE AS: replace the whole table at ``path``. ``dealt``: its rows already are, by ``partition_by``."""
+    writer = (df if dealt else rebalanced(df, partition_by)).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    # Half the size of Spark's default codec on keys that are digests.
+    writer = writer.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
