@@ -137,3 +137,19 @@ def test_wide_rows_cross_a_shuffle_as_one_line(spark):
     dealt = rebalanced(df, ["p"])
     assert dealt.schema == df.schema and sorted(map(tuple, dealt.collect()), key=repr) == sorted(rows, key=repr)
     assert "_line" in explained(dealt)
+
+
+def test_digests_cross_a_shuffle_as_bytes(spark, database, tmp_path):
+    from vaxmart.sources.tables import write_layout
+
+    rows = [("0" * 32, "A" * 32, 1), ("0123456789abcdef" * 2, None, 2), (None, "zz", 3), ("", "0" * 32 + "\n", 4), ("abc", "0" * 31 + "A", 5)]
+    df = spark.createDataFrame(rows, "vaccination_sk string, patient_sk string, n int")
+    dealt = write_layout(df, range_by=["vaccination_sk"], sort_by=["vaccination_sk"], num_partitions=3)
+    found = [tuple(r) for r in dealt.collect()]
+    assert dealt.columns == df.columns and found == sorted(rows, key=lambda r: (r[0] is not None, r[0] or "")) and "unhex" in explained(dealt)
+    layouts.write_bucketed(df, f"{database}.keys", str(tmp_path / "k"), "vaccination_sk", 2)
+    assert sorted(map(tuple, spark.table(f"{database}.keys").collect()), key=repr) == sorted(rows, key=repr)
+    files = [p for p in (tmp_path / "k").iterdir() if p.suffix == ".parquet"]
+    assert len(files) <= 2  # each bucket is still one file
+    layouts.write_interleaved(df, str(tmp_path / "z"), ["n"], 2, ["vaccination_sk"])
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "z")).collect()), key=repr) == sorted(rows, key=repr)
