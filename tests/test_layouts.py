@@ -153,3 +153,14 @@ def test_digests_cross_a_shuffle_as_bytes(spark, database, tmp_path):
     assert len(files) <= 2  # each bucket is still one file
     layouts.write_interleaved(df, str(tmp_path / "z"), ["n"], 2, ["vaccination_sk"])
     assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "z")).collect()), key=repr) == sorted(rows, key=repr)
+
+
+def test_keys_of_a_fact_check_do_not_meet_in_one_task(spark):
+    fact = spark.range(1000).select(F.concat(F.lit("k"), "id").alias("k"), (F.col("id") % 3).alias("d"))
+    dim = spark.createDataFrame([(0, "x"), (1, "y"), (2, "y")], "d long, v string")
+    report = quality.check_fact(fact, dim, "k", "d", "v", 2)
+    assert all(r["passed"] for r in report.collect())
+    plan = explained(report).split("Initial Plan")[-1]
+    join = plan.index("LeftOuter")
+    # Before the join, groups are summed up by (set, dimension key).
+    assert "_repeated" in plan[join:] and "partial_max(" in plan[join:]
