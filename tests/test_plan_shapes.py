@@ -122,3 +122,11 @@ def test_lines_cross_their_shuffles_without_names_of_places(spark):
     # Joins from the last (top) to the first: the places, the patient, the supplier, the vaccine.
     at = [p.index(f"{k}#") for k in ("[s_nationkey", "[c_nationkey", "Join [l_orderkey", "Join [l_suppkey", "Join [l_partkey")]
     assert at == sorted(at)
+
+
+def test_patients_are_counted_by_hash_before_they_are_sorted(spark):
+    from vaxmart.operators.dims import build_patients
+
+    p = plan(build_patients(star_from_fixtures(spark, SF_SMALL).staging))
+    counted = [line for line in p.splitlines() if "HashAggregate(keys=[patient_sk" in line]
+    assert len(counted) == 2 and "_line" in counted[0]

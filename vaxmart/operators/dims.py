@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from vaxmart.functions.keys import surrogate_key
 from vaxmart.functions.temporal import calendar_fields
 from vaxmart.schemas import FACILITY_ATTRIBUTES, FACT_COLUMNS, PATIENT_ATTRIBUTES, VACCINE_ATTRIBUTES
+from vaxmart.sources.tables import one_line
 
 
 def collapse_dimension(
@@ -29,13 +30,13 @@ def collapse_dimension(
     two phases: a partial aggregate per map task, then the final one after
     the shuffle on ``key``. ``few_values`` is for dimensions with few
     different rows: those are counted first, by a hash aggregate, so only
-    they are sorted. (A plain ``distinct`` would be removed by Catalyst below
+    they are sorted; many texts are counted as one line. (A plain ``distinct`` would be removed by Catalyst below
     a duplicate-insensitive aggregate; the counts are used, to leave out
     groups without rows, which there are none of.)
     """
     casts = casts or {}
     if few_values:
-        df = df.groupBy(key, *attributes).agg(F.count(F.lit(1)).alias("_rows"))
+        df = one_line(df.select(key, *attributes), [key], lambda rows: rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_rows")))
     aggs = []
     for a in attributes:
         agg = F.max(a)
@@ -48,7 +49,8 @@ def collapse_dimension(
 
 
 def build_patients(staging: DataFrame) -> DataFrame:
-    return collapse_dimension(staging, "patient_sk", PATIENT_ATTRIBUTES, casts={"patient_age": "int"})
+    """Patients have a row a dose, mostly with the same attributes; those are counted first, so only different ones are sorted."""
+    return collapse_dimension(staging, "patient_sk", PATIENT_ATTRIBUTES, casts={"patient_age": "int"}, few_values=True)
 
 
 def build_facilities(staging: DataFrame, few_values: bool = False) -> DataFrame:
