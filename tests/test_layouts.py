@@ -164,3 +164,61 @@ def test_keys_of_a_fact_check_do_not_meet_in_one_task(spark):
     join = plan.index("LeftOuter")
     # Before the join, groups are summed up by (set, dimension key).
     assert "_repeated" in plan[join:] and "partial_max(" in plan[join:]
+
+
+def test_landed_rows_cross_the_shuffle_in_blocks(spark, tmp_path):
+    """Every value comes back, odd and null ones and null folders too; rows of many folders share a shuffle row each."""
+    from vaxmart.sources import blocks
+    from vaxmart.sources.tables import land_partitioned, open_files, rebalanced_in_blocks
+
+    texts = [F.when(F.col("id") % 11 != i, F.concat(F.lit(f"text {i} of "), F.col("id") % (i + 5))).alias(f"t{i}") for i in range(9)]
+    odd = [F.when(F.col("id") % 50 == 0, "a\x1fb").when(F.col("id") % 50 == 1, "\x1e").when(F.col("id") % 50 == 2, "").otherwise("é").alias("odd"),
+           F.when(F.col("id") % 7 != 0, F.concat(F.lit("f"), F.col("id") % 7)).alias("p"), (F.col("id") % 3).cast("int").alias("q"),
+           F.date_add(F.lit("2021-01-01").cast("date"), F.col("id").cast("int")).alias("d"), (F.col("id") / 7).cast("decimal(20,9)").alias("x"),
+           F.col("id").cast("timestamp").alias("at")]
+    df = spark.range(5000).repartition(2).select("id", *texts, *odd)
+    dealt = rebalanced_in_blocks(df, ["p", "q"])
+    assert sorted(map(tuple, dealt.collect()), key=lambda r: r[0]) == sorted(map(tuple, df.collect()), key=lambda r: r[0])
+    assert "_block" in executed(dealt) and "_block" not in executed(rebalanced_in_blocks(df.select("id", "p", "t0"), ["p"]))
+    assert "_block" not in executed(rebalanced_in_blocks(df.withColumn("a", F.array("id")), ["p"]))  # a type that blocks do not hold
+    crossing = []
+    blocks.in_blocks(df, ["p", "q"], lambda rows: crossing.append(rows) or rows)
+    n, size = crossing[0].agg(F.count(F.lit(1)), F.sum(F.length("_block"))).first()
+    assert n <= 2 * 7 * 3 and size < 5000 * 60
+
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    with pytest.raises(ValueError), open_files(spark):
+        raise ValueError
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    folders = df.withColumn("p", F.concat(F.lit("f"), F.col("id") % 150))  # more than a task keeps open
+    land_partitioned(folders.where("odd != ''").coalesce(1), str(tmp_path / "l"), partition_by=["p"])
+    from vaxmart.sources import csv as vcsv
+    back = vcsv.load_csv(spark, vcsv.landing_glob(str(tmp_path / "l"), ["p"]), folders.schema)
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[0]) == sorted(map(tuple, folders.where("odd != ''").collect()), key=lambda r: r[0])
+
+
+def test_gathered_rows_are_bounded_by_bytes(spark):
+    import pyarrow as pa
+
+    from vaxmart.sources.blocks import gathered, make_blocks, open_blocks
+
+    batches = [pa.RecordBatch.from_pydict({"k": [str(j % 2) for j in range(10)], "v": ["x" * 100] * 10}) for _ in range(9)]
+    assert [t.num_rows for t in gathered(iter(batches), 3000)] == [30, 30, 30]
+    made = list(make_blocks(iter(batches), ["k"]))
+    assert sum(b.num_rows for b in made) == 2
+    assert sorted(v for b in open_blocks(iter(made)) for v in b["k"].to_pylist()) == ["0"] * 45 + ["1"] * 45
+
+
+def test_loaded_table_is_compressed_with_zstd(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import types as T
+
+    from vaxmart.sources import csv as vcsv
+
+    (tmp_path / "a.csv").write_text("id,name\n1,a\n2,b\n")
+    schema = T.StructType().add("id", T.IntegerType()).add("name", T.StringType())
+    vcsv.load_csv_to_table(spark, str(tmp_path / "a.csv"), schema, str(tmp_path / "t"))
+    files = glob.glob(str(tmp_path / "t" / "*.parquet"))
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}

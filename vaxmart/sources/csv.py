@@ -194,7 +194,7 @@ def load_csv_to_table(
     else:
         raise ValueError("budget_check must be 'during' or 'before'")
     good = parsed.where(F.col(CORRUPT).isNull()).select(*load.columns)
-    writer = rebalanced(good, partition_by or []).write.mode("overwrite")
+    writer = rebalanced(good, partition_by or []).write.mode("overwrite").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(target_path)

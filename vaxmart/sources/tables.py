@@ -8,7 +8,8 @@ receive rows are replaced, and only when the write job commits.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vaxmart.schemas import LANDING_PARTITIONS, SURROGATE_KEYS
+from vaxmart.sources.blocks import in_blocks
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -122,7 +124,7 @@ def one_line(df: DataFrame, keep: Sequence[str], exchange: Callable[[DataFrame],
     """``exchange`` over rows whose many texts are one line: their offsets and padding take more than half of a wide
     row and differ from row to row, so the shuffle's compression keeps them.
 
-    Rows with a text that holds the separator or the mark of a null keep their texts apart; every value comes back as
+    Rows with a text that holds the separator or the mark of a null cross as hex digits; every value comes back as
     it was. Columns of ``keep`` stay columns for ``exchange`` to deal by; those it adds are kept."""
     texts = [c for c, kind in df.dtypes if kind == "string" and c not in keep]
     if len(texts) < MANY_TEXTS:
@@ -132,11 +134,13 @@ def one_line(df: DataFrame, keep: Sequence[str], exchange: Callable[[DataFrame],
     together = F.concat_ws("", *values)
     odd = together.contains(_SEPARATOR) | together.contains(_NULL)
     line = F.concat_ws(_SEPARATOR, *[F.coalesce(v, F.lit(_NULL)) for v in values])
+    digits = F.concat_ws(_SEPARATOR, *[F.coalesce(F.hex(v), F.lit(_NULL)) for v in values])
     lines = df.select(*[column[c] for c in df.columns if c not in texts],
-                      F.when(~odd, line).alias("_line"), F.when(odd, F.array(*values)).alias("_apart"))
+                      F.when(~odd, line).alias("_line"), F.when(odd, digits).alias("_digits"))
     moved = exchange(lines)
     parts = F.transform(F.split("_line", _SEPARATOR, -1), lambda v: F.nullif(v, F.lit(_NULL)))
-    back = moved.withColumn("_texts", F.coalesce("_apart", parts))
+    bytes_of = F.transform(F.split("_digits", _SEPARATOR, -1), lambda v: F.unhex(F.nullif(v, F.lit(_NULL))).cast("string"))
+    back = moved.withColumn("_texts", F.coalesce(bytes_of, parts))
     at = {c: F.get("_texts", F.lit(i)).alias(c) for i, c in enumerate(texts)}
     added = [F.col(quoted_name(c)) for c in moved.columns if c not in lines.columns]
     return back.select(*[at.get(c, column[c]) for c in df.columns], *added)
@@ -151,6 +155,15 @@ def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return one_line(df, partition_by, lambda rows: rows.hint("rebalance", *partition_by)) if partition_by else df
 
 
+def rebalanced_in_blocks(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """:func:`rebalanced`, the lines of wide rows in compressed blocks of one output partition each."""
+
+    def deal(rows: DataFrame) -> DataFrame:
+        return rows.hint("rebalance", *partition_by)
+
+    return one_line(df, partition_by, lambda rows: in_blocks(rows, partition_by, deal) if "_line" in rows.columns else deal(rows))
+
+
 def rebuild_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), dealt: bool = False) -> None:
     """DROP + CREATE TABLE AS: replace the whole table at ``path``. ``dealt``: its rows already are, by ``partition_by``."""
     writer = (df if dealt else rebalanced(df, partition_by)).write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -163,6 +176,22 @@ def rebuild_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), de
 
 IN_FILE_SUFFIX = "_value"
 
+# Landing files that a task writes at a time; rows of further partition folders are sorted and written after them.
+OPEN_FILES = 64
+
+
+@contextmanager
+def open_files(spark: SparkSession) -> Iterator[None]:
+    """Writes in it keep up to ``OPEN_FILES`` files open instead of sorting a task's wide rows by folder: blocks bring
+    more rows into a task, and the sort would hold them all. For landing files only, whose writers hold little."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
 
 def land_partitioned(
     df: DataFrame,
@@ -185,13 +214,14 @@ def land_partitioned(
     if mode not in ("append", "replace"):
         raise ValueError("mode must be 'append' or 'replace'")
     data_cols = [F.col(c).alias(c + IN_FILE_SUFFIX) if c in partition_by else F.col(c) for c in df.columns]
-    out = rebalanced(df.select(*data_cols, *[F.col(p) for p in partition_by]), partition_by)
+    out = rebalanced_in_blocks(df.select(*data_cols, *[F.col(p) for p in partition_by]), partition_by)
     writer = _landing_writer(out, partition_by, compression, max_records_per_file)
     if mode == "replace":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
         writer = writer.mode("append")
-    writer.csv(base)
+    with open_files(df.sparkSession):
+        writer.csv(base)
 
 
 def land_run(
@@ -217,16 +247,18 @@ def land_run(
     out = df.select(*data_cols, F.lit(month).alias(month_col), F.col(state_col), F.lit(str(until)).alias("run_until"))
     if mode == "append":
         dirs = [month_col, state_col, "run_until"]
-        writer = _landing_writer(rebalanced(out, dirs), dirs, compression).mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").csv(base)
+        writer = _landing_writer(rebalanced_in_blocks(out, dirs), dirs, compression).mode("overwrite")
+        with open_files(df.sparkSession):
+            writer.option("partitionOverwriteMode", "dynamic").csv(base)
         return
     folder = f"{base.rstrip('/')}/{month_col}={month}"
     whole = [(out.drop(month_col), folder, [state_col, "run_until"])]
     for rows, path, dirs in whole if states is None else [
         (out.where(F.col(state_col) == s).drop(month_col, state_col), f"{folder}/{state_col}={s}", ["run_until"]) for s in states
     ]:
-        writer = _landing_writer(rebalanced(rows, dirs), dirs, compression).mode("overwrite")
-        writer.option("partitionOverwriteMode", "static").csv(path)
+        writer = _landing_writer(rebalanced_in_blocks(rows, dirs), dirs, compression).mode("overwrite")
+        with open_files(df.sparkSession):
+            writer.option("partitionOverwriteMode", "static").csv(path)
 
 
 def csv_landing_writer(
@@ -236,7 +268,7 @@ def csv_landing_writer(
     fixed = folder or {}
     data_cols = [F.col(c).alias(c + IN_FILE_SUFFIX) if c in partition_by else F.col(c) for c in df.columns]
     dirs = [F.lit(fixed[p]).alias(p) if p in fixed else F.col(p) for p in partition_by]
-    return _landing_writer(rebalanced(df.select(*data_cols, *dirs), partition_by), partition_by, compression)
+    return _landing_writer(rebalanced_in_blocks(df.select(*data_cols, *dirs), partition_by), partition_by, compression)
 
 
 def _landing_writer(

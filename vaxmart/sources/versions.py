@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from vaxmart.operators.merge import merge_rows
 from vaxmart.sources.csv import CORRUPT, DATA_FILES, RejectBudgetExceeded, load_csv, read_csv_bulk, rejected_lines, rejects_allowed
-from vaxmart.sources.tables import csv_landing_writer, rebalanced
+from vaxmart.sources.tables import csv_landing_writer, open_files, rebalanced
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 COMMIT_SCHEMA = "commit long, label string, live array<struct<folder:string, version:string>>, committed_at timestamp"
@@ -167,7 +167,8 @@ class Transaction:
         path, dirs = f"{table.data}/table_version={version}", list(table.partition_by)
         out = rows.select(*table.schema.names)
         if table.fmt == "csv":
-            csv_landing_writer(out, dirs, folder).csv(path)
+            with open_files(table.spark):
+                csv_landing_writer(out, dirs, folder).csv(path)
         else:
             writer = rebalanced(out, dirs).write
             (writer.partitionBy(*dirs) if dirs else writer).parquet(path)
