@@ -79,3 +79,25 @@ def test_setting_of_the_session_comes_back(spark):
         df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
         first = sorted_rows(df)
     assert sorted_rows(df) == first  # runs again without its files
+
+
+def test_star_in_passes_is_the_star(spark, tmp_path, monkeypatch):
+    from tests.conftest import SF_SMALL
+    from vaxmart.plans import pipeline
+    from vaxmart.sources.fixtures import raw_population, raw_vaccinations
+    from vaxmart.sources.named import STAR_TABLES
+
+    raw, population = raw_vaccinations(spark, SF_SMALL), raw_population(spark, SF_SMALL)
+    report = pipeline.run(spark, raw, population, str(tmp_path / "one"), expected_states=5)
+    monkeypatch.setattr(passes, "PASS_BYTES", 1)
+    before = shuffle_files(spark)
+    assert pipeline.run(spark, raw, population, str(tmp_path / "more"), expected_states=5, passes_by=["paciente_id"]) == report
+    assert not shuffle_files(spark) - before
+    for table in (*STAR_TABLES, "staging_vaccinations"):
+        one, more = (spark.read.parquet(str(tmp_path / w / table)) for w in ("one", "more"))
+        assert more.schema == one.schema and more.count() == one.count()
+        assert more.exceptAll(one.select(*more.columns)).isEmpty()
+    # The fact's files still hold ranges of dates.
+    dates = spark.read.parquet(str(tmp_path / "more" / "fact_vaccinations")).groupBy(F.input_file_name()).agg(
+        F.min("vaccination_date").alias("low"), F.max("vaccination_date").alias("high")).orderBy("low", "high").collect()
+    assert len(dates) >= passes.MOST_PASSES and all(a.high <= b.low for a, b in zip(dates, dates[1:]))
