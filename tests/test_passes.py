@@ -101,3 +101,19 @@ def test_star_in_passes_is_the_star(spark, tmp_path, monkeypatch):
     dates = spark.read.parquet(str(tmp_path / "more" / "fact_vaccinations")).groupBy(F.input_file_name()).agg(
         F.min("vaccination_date").alias("low"), F.max("vaccination_date").alias("high")).orderBy("low", "high").collect()
     assert len(dates) >= passes.MOST_PASSES and all(a.high <= b.low for a, b in zip(dates, dates[1:]))
+
+
+def test_a_batch_of_a_stream_gives_its_shuffles_back(spark, tmp_path):
+    from vaxmart.streaming.merge_stream import merge_batch_into
+
+    rows = spark.range(900).repartition(3).select(
+        F.col("id").cast("string").alias("pk"), *[F.lit(f"text {i}").alias(f"t{i}") for i in range(8)], F.concat(F.lit("m"), F.col("id") % 4).alias("m"))
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    rows.limit(0).write.partitionBy("m").parquet(str(tmp_path / "t"))
+    before = shuffle_files(spark)
+    for part in (rows.where("pk < 600"), rows.where("pk > 300 AND pk % 4 < 2")):
+        merge_batch_into(spark, part, str(tmp_path / "t"), "pk", "m", rows.schema)
+    assert not shuffle_files(spark) - before
+    assert sorted_rows(spark.read.schema(rows.schema).parquet(str(tmp_path / "t")).select(*rows.columns)) == sorted_rows(
+        rows.where("pk < 600 OR pk > 300 AND pk % 4 < 2"))
