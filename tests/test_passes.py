@@ -117,3 +117,29 @@ def test_a_batch_of_a_stream_gives_its_shuffles_back(spark, tmp_path):
     assert not shuffle_files(spark) - before
     assert sorted_rows(spark.read.schema(rows.schema).parquet(str(tmp_path / "t")).select(*rows.columns)) == sorted_rows(
         rows.where("pk < 600 OR pk > 300 AND pk % 4 < 2"))
+
+
+def test_buckets_in_passes(spark, tmp_path, small_passes):
+    from vaxmart.sources import layouts, named
+
+    rows = spark.range(4000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 != 1, F.md5((F.col("id") % 97).cast("string"))).alias("patient_sk"), "id")
+    rows.write.parquet(str(tmp_path / "rows"))
+    fact = spark.read.parquet(str(tmp_path / "rows"))
+    people = fact.select("patient_sk").distinct().withColumn("v", F.length("patient_sk"))
+    people.write.parquet(str(tmp_path / "people"))
+    named.use_database(spark, "pass_tests")
+    try:
+        for _ in range(2):  # the second time in place of the first
+            before = shuffle_files(spark)
+            for df, name in ((fact, "fact"), (spark.read.parquet(str(tmp_path / "people")), "people")):
+                layouts.write_bucketed(df, f"pass_tests.{name}", str(tmp_path / f"{name}-buckets"), "patient_sk", 8, hot_keys=["hot"])
+            assert not shuffle_files(spark) - before
+        table = spark.table("pass_tests.fact")
+        assert sorted_rows(table.unionByName(spark.table("pass_tests.fact__hot"))) == sorted_rows(fact)
+        files = table.groupBy(F.input_file_name().alias("f")).agg(F.collect_set(F.pmod(F.hash("patient_sk"), F.lit(8))).alias("buckets")).collect()
+        assert sorted(b for f in files for b in f.buckets) == list(range(8)) and len(files) == 8  # a bucket is one file still
+        joined = layouts.join_bucketed(spark, "pass_tests.fact", "pass_tests.people", "patient_sk", hot_keys=["hot"])
+        assert sorted_rows(joined.select("patient_sk", "id", "v")) == sorted_rows(fact.join(people, "patient_sk").select("patient_sk", "id", "v"))
+        assert "hashpartitioning(patient_sk" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS pass_tests CASCADE")
