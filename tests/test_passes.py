@@ -143,3 +143,35 @@ def test_buckets_in_passes(spark, tmp_path, small_passes):
         assert "hashpartitioning(patient_sk" not in joined._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.sql("DROP DATABASE IF EXISTS pass_tests CASCADE")
+
+
+def test_interleaved_order_in_passes(spark, tmp_path, monkeypatch):
+    from vaxmart.sources import layouts
+
+    rows = spark.range(20_000).select(F.when(F.col("id") % 40 != 0, F.col("id") * 7919 % 1000).alias("a"), F.md5(F.col("id").cast("string")).alias("b"), "id")
+    rows.write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    layouts.write_interleaved(df, str(tmp_path / "one"), ["a", "b"], 16, ["id"])
+    monkeypatch.setattr(passes, "PASS_BYTES", 1)
+    before = shuffle_files(spark)
+    layouts.write_interleaved(df, str(tmp_path / "more"), ["a", "b"], 16, ["id"])
+    assert not shuffle_files(spark) - before
+    one, more = (spark.read.parquet(str(tmp_path / w)) for w in ("one", "more"))
+    assert sorted_rows(more) == sorted_rows(df)
+    # Files are ranges of the same key: its ranges do not overlap, and each column is narrowed as before.
+    keyed = layouts.interleaved(more, ["a", "b"], cuts=layouts.quantiles(df, ["a", "b"], 8)).groupBy(F.input_file_name().alias("f"))
+    ranges = keyed.agg(F.min("_z").alias("low"), F.max("_z").alias("high")).orderBy("low", "high").collect()
+    assert 12 <= len(ranges) <= 20 and all(x.high <= y.low for x, y in zip(ranges, ranges[1:]))
+
+    def files(t, where):
+        return t.where(where).select(F.input_file_name()).distinct().count()
+
+    for where in ("a >= 100 AND a < 200", "b >= '10' AND b < '30'"):
+        assert files(more, where) <= files(one, where) + 2
+    # One value in all rows: one pass, all files.
+    same = df.select(F.lit(1).alias("a"), F.lit("x").alias("b"), "id")
+    layouts.write_interleaved(same, str(tmp_path / "same"), ["a", "b"], 4, ["id"])
+    assert spark.read.parquet(str(tmp_path / "same")).count() == 20_000
+    assert len(list((tmp_path / "same").glob("*.parquet"))) == 4
+    layouts.write_interleaved(df.where("id < 0"), str(tmp_path / "none"), ["a", "b"], 4, ["id"])
+    assert spark.read.parquet(str(tmp_path / "none")).count() == 0
