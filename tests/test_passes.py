@@ -175,3 +175,12 @@ def test_interleaved_order_in_passes(spark, tmp_path, monkeypatch):
     assert len(list((tmp_path / "same").glob("*.parquet"))) == 4
     layouts.write_interleaved(df.where("id < 0"), str(tmp_path / "none"), ["a", "b"], 4, ["id"])
     assert spark.read.parquet(str(tmp_path / "none")).count() == 0
+
+
+def test_table_with_bloom_filters_is_compressed_with_zstd(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from vaxmart.sources import layouts
+
+    layouts.write_with_bloom_filters(spark.range(100).select(F.md5(F.col("id").cast("string")).alias("k")), str(tmp_path / "b"), {"k": 100})
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in (tmp_path / "b").glob("*.parquet")} == {"ZSTD"}
