@@ -103,6 +103,15 @@ def test_star_in_passes_is_the_star(spark, tmp_path, monkeypatch):
     assert len(dates) >= passes.MOST_PASSES and all(a.high <= b.low for a, b in zip(dates, dates[1:]))
 
 
+def test_keys_of_a_uniqueness_check_cross_the_join_as_bytes(spark):
+    from vaxmart.operators import quality
+
+    keys = [("0" * 32,), ("0" * 32,), ("F" * 32,), ("F" * 32,), ("f" * 32,), (None,), (None,), ("x",)]
+    found = quality.duplicate_groups(spark.createDataFrame(keys, "vaccination_sk string"), ["vaccination_sk"])
+    assert sorted_rows(found) == sorted([("0" * 32, 2), ("F" * 32, 2), (None, 2)], key=repr)
+    assert "unhex" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_batch_of_a_stream_gives_its_shuffles_back(spark, tmp_path):
     from vaxmart.streaming.merge_stream import merge_batch_into
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vaxmart.schemas import CONTRACT_NULLABLE, CONTRACT_TYPES
+from vaxmart.sources.tables import short_keys
 
 REPORT_COLUMNS = ["check", "observed", "expected", "passed"]
 BLANK_KEY = "d41d8cd98f00b204e9800998ecf8427e"  # md5('') = key of a missing id
@@ -57,8 +58,9 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str], prehash: bool | None =
         return df.groupBy(*keys).agg(counted).where(F.col("n") > 1)
     hashed = df.select(*keys, F.xxhash64(*keys).alias("_h"))
     candidates = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > 1).select("_h")
+    # Where the join is a shuffle, or is planned as one before the candidates are seen to be few, all keys cross it.
     return (
-        hashed.join(candidates, "_h", "left_semi")
+        short_keys(hashed, lambda rows, _: rows.join(candidates, "_h", "left_semi"))
         .groupBy(*keys)
         .agg(counted)
         .where(F.col("n") > 1)
